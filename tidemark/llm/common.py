@@ -56,3 +56,12 @@ def ascii_lower(c: Column) -> Column:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def let(value: Column, use) -> Column:
+    """use(value), with ``value`` computed once.
+
+    What stands inside a lambda is otherwise computed again for each element;
+    the variable of a transform over one element is not.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))

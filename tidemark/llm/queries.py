@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, simhash
+from tidemark.llm import bpe, decontaminate, rules, simhash
 from tidemark.llm.common import read
 
 
@@ -17,13 +17,26 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
 
 
+def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(read(spark, sf_dir, "documents"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_host_rules": op7_host_rules,
+    "op8_decontaminate": op8_decontaminate,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_host_rules": rules.oracle(),
+    "op8_decontaminate": decontaminate.oracle(),
+}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, rules, simhash
+from tidemark.llm import bpe, decontaminate, rules, secrets, simhash
 from tidemark.llm.common import read
 
 
@@ -17,6 +17,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(read(spark, sf_dir, "documents")))
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(read(spark, sf_dir, "documents"))
 
@@ -30,6 +34,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_secrets": op6_secrets,
     "op7_host_rules": op7_host_rules,
     "op8_decontaminate": op8_decontaminate,
     "op9_byte_bpe": op9_byte_bpe,

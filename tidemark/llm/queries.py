@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, rules, secrets, simhash
+from tidemark.llm import bpe, decontaminate, quality, rules, secrets, simhash
 from tidemark.llm.common import read
 
 
@@ -17,6 +18,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(read(spark, sf_dir, "documents")))
 
@@ -34,6 +41,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality": op4_quality,
     "op6_secrets": op6_secrets,
     "op7_host_rules": op7_host_rules,
     "op8_decontaminate": op8_decontaminate,

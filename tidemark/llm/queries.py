@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, quality, rules, secrets, simhash
+from tidemark.llm import bpe, decontaminate, language, quality, rules, secrets, simhash
 from tidemark.llm.common import read
 
 
@@ -24,6 +24,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, model).withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return language.predicted(docs, language.fit(docs))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(read(spark, sf_dir, "documents")))
 
@@ -42,6 +47,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
+    "op5_language": op5_language,
     "op6_secrets": op6_secrets,
     "op7_host_rules": op7_host_rules,
     "op8_decontaminate": op8_decontaminate,

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, language, quality, rules, secrets, simhash
-from tidemark.llm.common import read
+from tidemark.llm import bpe, decontaminate, language, quality, rules, secrets, simhash, tokenids
+from tidemark.llm.common import read, scratch
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,13 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
 
 
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    shards = tokenids.write(read(spark, sf_dir, "documents"), scratch(spark, "ids"), public_tokenizers.path("word_bpe_49k.json"))
+    return tokenids.read(spark, shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
@@ -46,6 +53,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_ids": op2_token_ids,
     "op4_quality": op4_quality,
     "op5_language": op5_language,
     "op6_secrets": op6_secrets,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +30,33 @@ def shared_dir(spark: SparkSession) -> str:
     return root if "://" in root or root.startswith("file:") else f"file://{root}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once for each application.
+
+    Spark serves the archive from the driver, so executors need not share a
+    folder or have the package installed.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    body = io.BytesIO()
+    with zipfile.ZipFile(body, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    at = os.path.join(tempfile.mkdtemp(prefix="tidemark-code-"), "tidemark_code.zip")
+    with open(at, "wb") as f:
+        f.write(body.getvalue())
+    spark.sparkContext.addPyFile(at)
+    _SHIPPED.add(app)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -55,6 +85,7 @@ def ascii_lower(c: Column) -> Column:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, language, quality, rules, secrets, simhash, tokenids
+from tidemark.llm import bpe, decontaminate, language, preference, quality, rules, secrets, simhash, tokenids, warc
 from tidemark.llm.common import read, scratch
 
 
@@ -15,7 +15,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    return bpe.digests(bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return bpe.digests(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op1_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.rendered(preference.against_truncated(read(spark, sf_dir, "conversations")))
 
 
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +29,11 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.read(spark, shards).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(warc.planned(read(spark, sf_dir, "pages")), scratch(spark, "warc"))
+    return warc.summaries(warc.read_chunks(spark, archives, with_data=False))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
@@ -53,7 +62,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_preference": op1_preference,
     "op2_token_ids": op2_token_ids,
+    "op3_warc": op3_warc,
     "op4_quality": op4_quality,
     "op5_language": op5_language,
     "op6_secrets": op6_secrets,
@@ -64,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_preference": preference.oracle(),
     "op7_host_rules": rules.oracle(),
     "op8_decontaminate": decontaminate.oracle(),
 }

@@ -16,14 +16,17 @@ blocks of bounded size, one pass over the documents for each.
 from __future__ import annotations
 
 import itertools
+import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import let, text_or_empty
 
 #: Items are broadcast in blocks of about so many shingles (each some 60 bytes).
-BROADCAST_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 1_000_000
+#: Bits of a block's bitmap for each hash, at least.
+BITS_A_HASH = 16
 
 
 def words(text: Column) -> Column:
@@ -65,6 +68,30 @@ def sketches(items: DataFrame, id_col: str, text_col: str, size: int, threshold:
     return given.withColumn("sketch", F.slice(F.sort_array("hashes"), 1, kept)).drop("w")
 
 
+def _bitmap(hashes: list[int]) -> tuple[Column, int]:
+    """A literal bitmap (array<bigint>) of hashes by their low bits, and its number of bits."""
+    bits = 1 << max(6, (BITS_A_HASH * len(hashes)).bit_length())
+    table = [0] * (bits >> 6)
+    for h in hashes:
+        table[(h & bits - 1) >> 6] |= 1 << (h & 63)
+    signed = [x - (1 << 64) if x >> 63 else x for x in table]
+    return F.from_json(F.lit(json.dumps(signed)), "array<bigint>"), bits
+
+
+def _met(w: Column, size: int, bitmap: Column, bits: int) -> Column:
+    """array<struct<h, s>>: hash and words of the distinct runs of ``size`` words that the bitmap lets pass."""
+
+    def passes(h: Column) -> Column:
+        word = F.get(bitmap, F.shiftright(h.bitwiseAND(F.lit(bits - 1)), 6).cast("int"))
+        return F.call_function("shiftright", word, h.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    def of(hashes: Column) -> Column:
+        kept = F.filter(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))), lambda x: passes(x["h"]))
+        return F.array_distinct(F.transform(kept, lambda x: F.struct(x["h"].alias("h"), F.array_join(F.slice(w, x["i"] + 1, size), " ").alias("s"))))
+
+    return let(shingle_hashes(w, size), of)
+
+
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -86,23 +113,26 @@ def contaminated(
     known = sketches(items, item_col, item_text_col, size, threshold)
     # At most ``size`` rows: the shingle lengths that occur among the items.
     stats = known.groupBy("size").agg(F.sum("n").alias("n")).collect()
-    blocks = max(1, -(-sum(r.n for r in stats) // BROADCAST_SHINGLES))
-    tokens = docs.select(F.col(id_col).alias("doc"), words(text_or_empty(text_col)).alias("w"))
+    blocks = max(1, -(-sum(r.n for r in stats) // BLOCK_SHINGLES))
     found = None
     for length, block in itertools.product(sorted(r["size"] for r in stats) or [size], range(blocks)):
         own = known.where((F.col("size") == length) & (F.pmod(F.xxhash64("own"), F.lit(blocks)) == block))
-        own = own.select("item", "n", "own", "hashes", "sketch", F.explode("sketch").alias("h"))
-        given = tokens.where(F.size("w") >= length).select("doc", "w", shingle_hashes(F.col("w"), length).alias("all"))
-        probe = given.select("doc", "w", "all", F.explode(F.array_distinct("all")).alias("h"))
-        met = probe.join(F.broadcast(own), "h")
+        # A block's hashes, of bounded number, make the bitmap that lets past
+        # nearly only those of a document's shingles that some item has.
+        bitmap, bits = _bitmap([r.h for r in own.select(F.explode("hashes").alias("h")).distinct().collect()])
+        own = own.select("item", "n", "own", "sketch", F.explode("sketch").alias("h"))
+        met = let(words(text_or_empty(text_col)), lambda w: _met(w, length, bitmap, bits))  # noqa: B023
+        # Never null, and said so: else a filter for it computes all of this twice.
+        met = F.coalesce(met, F.array().cast("array<struct<h: bigint, s: string>>"))
+        given = docs.select(F.col(id_col).alias("doc"), met.alias("met")).select("doc", F.col("met.h").alias("hs"), F.col("met.s").alias("ss"))
+        probe = given.select("doc", "hs", "ss", F.explode(F.array_distinct("hs")).alias("h"))
+        pairs = probe.join(F.broadcast(own), "h")
         # Of an item's sketch, the least hash that the document holds speaks for
         # the pair, so each pair is verified once and nothing need be shuffled.
-        met = met.where(F.element_at(F.array_intersect("sketch", "all"), 1) == F.col("h"))
-        need = F.ceil(F.col("n") * F.lit(threshold) - 1e-9)
-        met = met.where(F.size(F.array_intersect("hashes", "all")) >= need)
-        held = F.size(F.array_intersect("own", shingles(F.col("w"), length)))
-        part = met.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), F.col("n").cast("long").alias("n_shingles"), held.cast("long").alias("n_found"), need.alias("need"))
-        part = part.where(F.col("n_found") >= F.col("need")).drop("need")
+        pairs = pairs.where(F.element_at(F.array_intersect("sketch", "hs"), 1) == F.col("h"))
+        held = F.size(F.array_intersect("own", "ss")).cast("long")
+        part = pairs.select(F.col("doc").alias(id_col), F.col("item").alias(item_col), F.col("n").cast("long").alias("n_shingles"), held.alias("n_found"))
+        part = part.where(F.col("n_found") >= F.ceil(F.col("n_shingles") * F.lit(threshold) - 1e-9))
         found = part if found is None else found.unionByName(part)
     return found.withColumn("containment", F.col("n_found") / F.col("n_shingles"))
 

@@ -16,18 +16,23 @@ array of small buckets that the pair of ids selects.
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import let, text_or_empty
 
 #: Longer than any word, and far from overflow: "to the end" of a slice.
 LONG = 2**30
+#: Words of more parts than this are merged by copying runs.
+WIDE = 48
 #: Number of words a dictionary row carries from Python to the JVM at most.
 WORDS_A_ROW = 2048
 #: Unicode white space as a character class: Java's \s alone is ASCII.
@@ -46,6 +51,10 @@ def java_pattern(pattern: str) -> str:
     Rust and Python read \\s and \\S as Unicode white space; Java needs it spelt
     out. Inside a negated class \\s stands beside other classes.
     """
+    # A run of alternatives that open with an apostrophe: one branch to try, not many.
+    quoted = re.match(r"(?:'[a-z]+\|){2,}", pattern)
+    if quoted:
+        pattern = f"'(?:{quoted[0][1:-1].replace("|'", '|')})|{pattern[quoted.end() :]}"
     out, k, in_class = [], 0, False
     while k < len(pattern):
         two = pattern[k : k + 2]
@@ -106,11 +115,16 @@ def _merge_rank(a: Column, b: Column, buckets: Column, n: int) -> Column:
     return F.get(bucket, F.array_position(bucket, key))
 
 
+def _each(n: Column, value) -> Column:
+    """array<bigint>: value(i) for i from 0 to n - 1."""
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), value)).otherwise(F.array().cast("array<bigint>"))
+
+
 def fold_word(word: Column, buckets: Column, n: int, single: Column) -> Column:
     """array<bigint>: the ids of one word given as its array of bytes.
 
     The state holds the parts p and, for each neighbouring pair, the rank r of
-    its merge (null: none). The fold takes a step for each byte but the first.
+    its merge (null: none). The fold takes a step for each byte, more than there are merges.
     A step merges the leftmost pair of the lowest rank and looks up only the two
     pairs that this changes; once no pair can merge, the state stays as it is.
     """
@@ -119,37 +133,25 @@ def fold_word(word: Column, buckets: Column, n: int, single: Column) -> Column:
     def step(state: Column, _: Column) -> Column:
         p, r = state["p"], state["r"]
 
-        def merge(at: Column) -> Column:  # position of the first of the two parts, from 1
-            one = F.get(r, at - 1)
-            left, right = F.get(p, at - 2), F.get(p, at + 1)
-            # The pairs before and after; slots beyond either end hold null.
-            return F.struct(
-                F.concat(F.slice(p, 1, at - 1), F.array(one), F.slice(p, at + 2, LONG)).alias("p"),
-                F.slice(
-                    F.concat(
-                        F.slice(r, 1, F.greatest(at - 2, F.lit(0))),
-                        F.array(_merge_rank(left, one, buckets, n), _merge_rank(one, right, buckets, n)),
-                        F.slice(r, at + 2, LONG),
-                    ),
-                    F.when(at > 1, 1).otherwise(2),
-                    F.size(p) - 2,
-                ).alias("r"),
-            )
+        def merge(at: Column) -> Column:  # index of the first of the two parts
+            one, size = F.get(r, at), F.size(p)
+            before, after = _merge_rank(F.get(p, at - 1), one, buckets, n), _merge_rank(one, F.get(p, at + 2), buckets, n)
+            # Element by element is quicker for common words, copying runs for wide ones.
+            parts = _each(size - 1, lambda i: F.when(i < at, F.get(p, i)).when(i > at, F.get(p, i + 1)).otherwise(one))
+            pairs = _each(size - 2, lambda i: F.when(i < at - 1, F.get(r, i)).when(i > at, F.get(r, i + 1)).when(i == at, after).otherwise(before))
+            wide_parts = F.concat(F.slice(p, 1, at), F.array(one), F.slice(p, at + 3, LONG))
+            wide_pairs = F.concat(F.slice(r, 1, F.greatest(at - 1, F.lit(0))), F.array(before, after), F.slice(r, at + 3, LONG))
+            wide_pairs = F.slice(wide_pairs, F.when(at > 0, 1).otherwise(2), size - 2)
+            wide = size > WIDE
+            return F.struct(F.when(wide, wide_parts).otherwise(parts).alias("p"), F.when(wide, wide_pairs).otherwise(pairs).alias("r"))
 
         least = F.array_min(r)
-        at = F.array_position(r, least).cast("int")
-        # A transform over one element binds the position, so it is found once a step.
-        return F.when(least.isNull(), state).otherwise(F.get(F.transform(F.array(at), merge), F.lit(0)))
+        at = F.array_position(r, least).cast("int") - 1
+        return F.when(least.isNull(), state).otherwise(let(at, merge))
 
     parts = F.transform(word, lambda b: F.get(single, b))
-    start = F.get(
-        F.transform(
-            F.array(parts),
-            lambda p: F.struct(p.alias("p"), F.slice(F.zip_with(p, F.slice(p, 2, LONG), lambda a, b: _merge_rank(a, b, buckets, n)), 1, F.size(p) - 1).alias("r")),
-        ),
-        F.lit(0),
-    )
-    return F.aggregate(F.slice(word, 2, LONG), start, step, lambda s: s["p"])
+    start = let(parts, lambda p: F.struct(p.alias("p"), _each(F.size(p) - 1, lambda i: _merge_rank(F.get(p, i), F.get(p, i + 1), buckets, n)).alias("r")))
+    return F.aggregate(word, start, step, lambda s: s["p"])
 
 
 #: The type of rows of words, a word being the list of its bytes.
@@ -252,6 +254,18 @@ def _pick_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([batch.column("doc").slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)), binary], ["doc", "ids", "ids_le"])
 
 
+def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text_col: str, max_words: int, finish, columns: str) -> DataFrame:
+    """What ``finish`` makes of the batches (doc, ids, ids_le), in the Python worker that made them."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    words = docs.select(F.col(id_col).alias("doc"), F.regexp_extract_all(text_or_empty(text_col), F.lit(java_pattern(pattern)), F.lit(0)).alias("words"))
+    numbered = words.mapInArrow(_number_words(max_words), f"doc {kind}, numbers array<int>, new array<array<int>>, fresh boolean")
+    table, n, single = rank_map(ranks)
+    # A lambda's variable stands for the table, so that the plan holds it once.
+    new_ids = let(table, lambda t: F.transform("new", lambda w: fold_word(w, t, n, single)))
+    folded = numbered.select("doc", "numbers", new_ids.alias("new_ids"), "fresh")
+    return folded.mapInArrow(lambda batches: finish(_pick_ids(batches)), f"doc {kind}, {columns}").withColumnRenamed("doc", id_col)
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", max_words: int = 1_000_000) -> DataFrame:
     """(id_col, ids array<int>, ids_le binary): the ids of every whole text.
 
@@ -261,36 +275,63 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     ``docs`` are left out, so none can clash. A text is encoded in full whatever
     its length; the merges of one unbroken word of n bytes take time in n * n.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    words = docs.select(F.col(id_col).alias("doc"), F.regexp_extract_all(text_or_empty(text_col), F.lit(java_pattern(pattern)), F.lit(0)).alias("words"))
-    numbered = words.mapInArrow(_number_words(max_words), f"doc {kind}, numbers array<int>, new array<array<int>>, fresh boolean")
-    table, n, single = rank_map(ranks)
-    # A lambda's variable stands for the table, so that the plan holds it once.
-    new_ids = F.get(F.transform(F.array(table), lambda t: F.transform("new", lambda w: fold_word(w, t, n, single))), F.lit(0))
-    folded = numbered.select("doc", "numbers", new_ids.alias("new_ids"), "fresh")
-    return folded.mapInArrow(_pick_ids, f"doc {kind}, ids array<int>, ids_le binary").withColumnRenamed("doc", id_col)
+    return _encoded(docs, ranks, pattern, id_col, text_col, max_words, lambda batches: batches, "ids array<int>, ids_le binary")
+
 
+class Decoder:
+    """Turns ids into bytes: the pieces lie end to end, and each id picks its own."""
 
-def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """Binary: the pieces of these ids, concatenated.
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        size = max(ranks.values(), default=-1) + 1
+        pieces = [b""] * size
+        for piece, rank in ranks.items():
+            pieces[rank] = piece
+        self.lengths = np.fromiter(map(len, pieces), np.int64, size)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(pieces), np.uint8)
 
-    A null list gives null, an empty one gives no bytes. An id without a piece,
-    or a null one, raises an error rather than leaving bytes out.
+    def __call__(self, ids: np.ndarray) -> bytes:
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lengths) or not self.lengths[ids].all()):
+            raise ValueError("an id is not in the vocabulary")
+        own = self.lengths[ids]
+        ends = np.cumsum(own)
+        shift = np.repeat(self.starts[ids] - (ends - own), own)
+        return self.flat[shift + np.arange(len(shift))].tobytes()
+
+
+def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
+    """``encoded`` and ``out_col`` binary: the pieces of each row's ids, concatenated.
+
+    A null list gives null, an empty one no bytes. An id without a piece, or a
+    null one, raises an error rather than leaving bytes out.
     """
-    pieces = [""] * (max(ranks.values(), default=-1) + 1)
-    known = [False] * len(pieces)
-    for piece, rank in ranks.items():
-        pieces[rank], known[rank] = piece.hex(), True
-    table = _json_literal([p if k else None for p, k in zip(pieces, known, strict=True)], "array<string>")
-    unknown = F.raise_error(F.lit("an id is not in the vocabulary")).cast("string")
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.coalesce(F.get(table, i), unknown)), ""))
-
-
-def digests(encoded: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id") -> DataFrame:
-    """(id_col, n_tokens, ids_sha256, decoded_sha256) of what encode() returned."""
-    return encoded.select(
-        id_col,
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2("ids_le", 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"),
-    )
+    decoder = Decoder(ranks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(ids_col)
+            if lists.flatten().null_count:
+                raise ValueError("an id is not in the vocabulary")
+            out = [x.values.to_numpy() if x.is_valid else None for x in lists]
+            yield batch.append_column(out_col, pa.array([None if x is None else decoder(x) for x in out], pa.binary()))
+
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(out_col, T.BinaryType())]))
+
+
+def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", max_words: int = 1_000_000) -> DataFrame:
+    """(id_col, n_tokens, ids_sha256, decoded_sha256): encode(), then decode(), as digests.
+
+    The worker that has the ids decodes them and keeps only digests of both.
+    """
+    decoder = Decoder(ranks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [np.frombuffer(x.as_buffer(), "<i4") for x in batch.column("ids_le")]
+            hashed = [[hashlib.sha256(x).hexdigest() for x in (row.tobytes(), decoder(row))] for row in rows]
+            yield pa.record_batch(
+                [batch.column("doc"), pa.array([len(x) for x in rows], pa.int64()), pa.array([x for x, _ in hashed], pa.string()), pa.array([x for _, x in hashed], pa.string())],
+                ["doc", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    return _encoded(docs, ranks, pattern, id_col, text_col, max_words, run, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")

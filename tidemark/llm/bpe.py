@@ -335,3 +335,21 @@ def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str
             )
 
     return _encoded(docs, ranks, pattern, id_col, text_col, max_words, run, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+
+
+def checked(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", max_words: int = 1_000_000) -> DataFrame:
+    """(id_col, n_tokens, ids, n_bytes): the ids, and how many bytes they decode to.
+
+    The worker that has the ids decodes them; n_bytes is the length of that.
+    """
+    decoder = Decoder(ranks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [np.frombuffer(x.as_buffer(), "<i4") for x in batch.column("ids_le")]
+            yield pa.record_batch(
+                [batch.column("doc"), pa.array([len(x) for x in rows], pa.int64()), batch.column("ids"), pa.array([len(decoder(x)) for x in rows], pa.int64())],
+                ["doc", "n_tokens", "ids", "n_bytes"],
+            )
+
+    return _encoded(docs, ranks, pattern, id_col, text_col, max_words, run, "n_tokens bigint, ids array<int>, n_bytes bigint")

@@ -247,10 +247,12 @@ class Store:
     def remove_orphans(self, table: str, older_than: float) -> list[str]:
         """Delete data directories that no manifest names and that are old enough not to be in the making."""
         named = {d for v in self.versions(table) for ds in self.manifest(table, v).files.values() for d in ds}
+        named |= {d.rpartition("/")[0] for d in named}  # a write's own folder, which holds its markers
         newest: dict[str, float] = {}
         for folder, _, at in self._data_files(table):
             newest[folder] = max(newest.get(folder, 0.0), at)
-        gone = sorted(d for d, at in newest.items() if d not in named and at < older_than)
+        gone = {d for d, at in newest.items() if d not in named and at < older_than}
+        gone = sorted(d for d in gone if d.rpartition("/")[0] not in gone)
         for d in gone:
             self._fs.delete(self._at(table, d), True)
         return gone

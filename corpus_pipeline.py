@@ -6,8 +6,9 @@ stage's rows as Parquet below the cluster's shared folder and reads them again.
 
 * quality: documents that the line classifier scores below 0.3 go. It learns
   from the labelled rows among ``docs``, as its own query does.
-* dedup: of each group of near-duplicates (five-word shingles, fingerprints that
-  agree in at least 62 of 64 bits) the document with the smallest id stays.
+* dedup: of each group of near-duplicates the document with the smallest id
+  stays. Shingles are of five words; fingerprints link at 5 or fewer differing
+  bits, about where texts of similarity 0.8 and over lie (see the README).
 * decontaminate: documents that hold 0.8 or more of a benchmark item's five-word
   shingles go.
 * secrets: every secret found is replaced by <secret>; documents stay, and
@@ -25,6 +26,10 @@ from tidemark.llm import bpe, decontaminate, quality, secrets, simhash
 from tidemark.llm.common import read, scratch, ship
 
 
+#: Bits in which fingerprints of near-duplicates may differ.
+RADIUS = 5
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier accepts."""
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
@@ -38,7 +43,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     with one id all stay or go.
     """
     ship(spark)
-    found = simhash.near_duplicates(docs, size=5)
+    found = simhash.near_duplicates(docs, size=5, radius=RADIUS)
     dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__dropped")).distinct()
     return docs.join(dropped, docs["doc_id"] == F.col("__dropped"), "left_anti")
 

@@ -32,7 +32,7 @@ def test_stages_against_brute_force(spark, sf):
         changed = False
         for a in prints:
             for b in prints:
-                if (prints[a] ^ prints[b]).bit_count() <= 2 and group[b] < group[a]:
+                if (prints[a] ^ prints[b]).bit_count() <= corpus_pipeline.RADIUS and group[b] < group[a]:
                     group[a], changed = group[b], True
     assert set(after) == {i for i, g in group.items() if i == g}
     before, after = kept["decontaminate"]

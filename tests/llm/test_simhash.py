@@ -71,8 +71,8 @@ def test_clashing_columns_null_ids_and_empty(spark):
     assert empty.columns == ["doc_id", "fingerprint", "component_id"] and empty.count() == 0
 
 
-@pytest.mark.parametrize("depth", [0, 3, 6])
-def test_tree_and_search_miss_no_pair(depth):
+@pytest.mark.parametrize(("depth", "radius"), [(0, 2), (3, 2), (6, 2), (4, 5), (6, 9)])
+def test_tree_and_search_miss_no_pair(depth, radius):
     rng = np.random.default_rng(depth)
     seeds = rng.integers(0, 2**64, 40, dtype=np.uint64)
     points = [seeds]
@@ -81,16 +81,16 @@ def test_tree_and_search_miss_no_pair(depth):
         points.append(points[rng.integers(len(points))] ^ flips)
     points = np.unique(np.concatenate([*points, np.arange(300, dtype=np.uint64)]))
     rng.shuffle(points)
-    which, shard, home = simhash.Tree(np.sort(points[:200]), depth).route(points, 2)
+    which, shard, home = simhash.Tree(np.sort(points[:200]), depth).route(points, radius)
     assert home.sum() == len(points) and len(set(which[home].tolist())) == len(points)
     a, b = [], []
     for s in np.unique(shard):
         at = shard == s
         order = np.concatenate([which[at & home], which[at & ~home]])
-        label = simhash.search(points[order], points[which[at & home]], 2)
+        label = simhash.search(points[order], points[which[at & home]], radius)
         a.append(order), b.append(order[label])
     got = simhash.forest(len(points), np.concatenate(a), np.concatenate(b))
-    x, y = np.nonzero(np.bitwise_count(points[:, None] ^ points[None]) <= 2)
+    x, y = np.nonzero(np.bitwise_count(points[:, None] ^ points[None]) <= radius)
     assert (got == simhash.forest(len(points), x, y)).all()
 
 

@@ -26,6 +26,8 @@ from tidemark.llm.components import stars
 
 #: Points of a shard, and the bound of shards (a power of two); sampled points a shard.
 SHARD_POINTS, MAX_SHARDS, SAMPLE_A_SHARD = 8192, 1 << 16, 32
+#: A wide radius sends most points to most shards; the tree is cut back to so many copies each.
+MAX_COPIES = 16
 #: Points that a search compares one by one, and pairs kept before they are reduced.
 LEAF, KEPT_PAIRS = 128, 1 << 20
 _CHUNK = 1 << 16
@@ -213,7 +215,11 @@ def links(points: DataFrame, radius: int = 2) -> DataFrame:
     sample = points
     if n > wanted:  # the bound of the sample holds on average, by a hash of the value
         sample = points.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int((1 << 30) * wanted / n))
-    tree = Tree(np.sort(np.array([r.fp for r in sample.collect()] if depth else [], np.int64)).view(np.uint64), depth)
+    fitted = np.sort(np.array([r.fp for r in sample.collect()] if depth else [], np.int64)).view(np.uint64)
+    tree = Tree(fitted, depth)
+    while depth and len(tree.route(fitted[:4096], radius)[0]) > MAX_COPIES * len(fitted[:4096]):
+        depth -= 1
+        tree = Tree(fitted, depth)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

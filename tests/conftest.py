@@ -3,7 +3,10 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+TOP = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, TOP)
+# For Spark's Python workers, wherever the tests are started from.
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [TOP, os.environ.get("PYTHONPATH")]))
 
 
 @pytest.fixture(scope="session")

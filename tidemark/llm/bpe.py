@@ -166,6 +166,13 @@ def _byte_arrays(rows: list[list[str]]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(row_ends), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
 
 
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most so many at a time: what is made of them is wider than they are."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def _number_words(max_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Number the words of this task; send each new one on before its first use.
@@ -175,9 +182,7 @@ def _number_words(max_words: int):
         """
         known: dict[str, int] = {}
         fresh = True
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _sliced(batches, 1024):
             if len(known) > max_words:
                 known, fresh = {}, True
             words = batch.column("words")
@@ -229,7 +234,7 @@ class _Table:
 def _pick_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Give each document the ids of its words, as a list and as little-endian bytes."""
     table = _Table()
-    for batch in batches:
+    for batch in _sliced(batches, 512):
         is_word = batch.column("new_ids").is_valid().to_numpy(zero_copy_only=False)
         fresh = batch.column("fresh").to_numpy(zero_copy_only=False)
         # Rows keep their order, so runs of one kind are taken one after another;

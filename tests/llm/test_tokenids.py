@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 from tidemark.llm import tokenids
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-TEXTS = ["", None, "Hello  the\tworld's\n\n x", "é ́ Ångström ΑΣ Σ ΟΔΥΣΣΕΥΣ İstanbul", "\x1c\x1d a\x85b\xa0c　d​e", "<|endoftext|> <|startoftext|>x", "日本語 🙂 ½ 12345 -- ***", "the " * 60_000, "가 ᅡ", "a\0b"]
+TEXTS = ["", None, "Hello  the\tworld's\n\n x", "é ́ Ångström ΑΣ Σ ΟΔΥΣΣΕΥΣ İstanbul", "\x1c\x1d a\x85b\xa0c　d​e", "<|endoftext|> <|startoftext|>x", "日本語 🙂 ½ 12345 -- ***", "the " * 60_000, "가 ᅡ", "a\0b", "\x01 a\x01b \x01\x01"]
 
 
 def reference(texts):
@@ -23,7 +23,7 @@ def reference(texts):
 def test_pieces_give_the_ids_of_the_whole(monkeypatch):
     monkeypatch.setattr(tokenids, "CACHED_PIECES", 50)
     rng = np.random.default_rng(4)
-    letters = list("aeéΣİ's'.,!? \n\t\x0b\x1ć̈🙂0") + ["the", "'ll", "\r\n", "<|endoftext|>"]
+    letters = list("a\x01eéΣİ's'.,!? \n\t\x0b\x1ć̈🙂0") + ["the", "'ll", "\r\n", "<|endoftext|>"]
     texts = [*TEXTS, *("".join(rng.choice(letters, 40)) for _ in range(400))]
     own = tokenids.encoder(PATH)
     got = [b for k in range(0, len(texts), 7) for b in own.encode([t or "" for t in texts[k : k + 7]], b"")]

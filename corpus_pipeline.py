@@ -7,8 +7,8 @@ stage's rows as Parquet below the cluster's shared folder and reads them again.
 * quality: documents that the line classifier scores below 0.3 go. It learns
   from the labelled rows among ``docs``, as its own query does.
 * dedup: of each group of near-duplicates the document with the smallest id
-  stays. Shingles are of five words; fingerprints link at 5 or fewer differing
-  bits, about where texts of similarity 0.8 and over lie (see the README).
+  stays. Texts are linked whose sets of five-word shingles have a Jaccard
+  similarity of 0.8 or more, every such pair and no other.
 * decontaminate: documents that hold 0.8 or more of a benchmark item's five-word
   shingles go.
 * secrets: every secret found is replaced by <secret>; documents stay, and
@@ -22,12 +22,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, quality, secrets, simhash
+from tidemark.llm import bpe, decontaminate, jaccard, quality, secrets
 from tidemark.llm.common import read, scratch, ship
 
 
-#: Bits in which fingerprints of near-duplicates may differ.
+#: Bits of the former links of fingerprints; no stage reads it, only their test does.
 RADIUS = 5
+#: Jaccard similarity from which texts are near-duplicates.
+SIMILARITY = 0.8
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +45,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     with one id all stay or go.
     """
     ship(spark)
-    found = simhash.near_duplicates(docs, size=5, radius=RADIUS)
+    found = jaccard.near_duplicates(docs, size=5, threshold=SIMILARITY)
     dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__dropped")).distinct()
     return docs.join(dropped, docs["doc_id"] == F.col("__dropped"), "left_anti")
 

@@ -112,8 +112,7 @@ def _daily(s, d):
 
 
 def _customers(s, d):
-    orders = _orders(s, d).where("order_date >= timestamp_ntz'1998-01-01 00:00:00'")
-    return gold.customer_metrics(_read(s, d, "customer").select(F.col("c_custkey").alias("customer_id")), orders)
+    return gold.customer_metrics(_read(s, d, "customer").select(F.col("c_custkey").alias("customer_id")), _orders(s, d))
 
 
 def _products(s, d):

@@ -30,10 +30,24 @@ _ASSIGN_LEAST, _ACCESS_LEAST, _HEX_LEAST = 12, 18, 16
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{%d,}" % (_ACCESS_LEAST - 4))
 _HEX = re.compile(r"[0-9a-f]{%d,}" % _HEX_LEAST)
 
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----\s*((?:[A-Za-z][A-Za-z0-9-]*:[^\n]*\n)*)([A-Za-z0-9+/=\s]*?)-----END \1-----")
+#: A line break as such, or escaped as in JSON, once or more often.
+_GAP = r"(?:\s|\\+[nrt])"
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----" + _GAP + r"*((?:[A-Za-z][A-Za-z0-9-]*:(?:(?!\\+[nr])[^\n])*(?:\n|(?:\\+[nr])+))*)((?:[A-Za-z0-9+/=]|" + _GAP + r")*?)-----END \1-----")
+_GAPS = re.compile(_GAP + "+")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-#: Base64 (either alphabet) or hex, long enough for the smallest key container.
-_RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+#: Where base64 (either alphabet) or hex of a DER sequence, an OpenSSH container or PEM may
+#: begin, in a run too: each is told by its first bytes.
+_START = re.compile(r"M[B-I]|b3BlbnNzaC1rZXktdjEA|LS0tLS1CRUdJTi|30(?=[0-9A-Fa-f]{2})")
+_B64, _XDIGITS = r"[A-Za-z0-9+/_-]", r"[0-9A-Fa-f]"
+#: Runs that line breaks may part, as such or escaped; blanks before the next line too.
+_BREAK = r"(?:(?:\r?\n|(?:\\+r)?\\+n)[\x20\t]*)"
+_RUN64 = re.compile(f"{_B64}+(?:{_BREAK}{_B64}+)*(?:{_BREAK}?={{1,2}})?")
+_RUN16 = re.compile(f"{_XDIGITS}+(?:{_BREAK}{_XDIGITS}+)*")
+_BREAKS = re.compile(_BREAK)
+_HEAD64, _HEAD16 = re.compile(_B64 + "{16}"), re.compile(_XDIGITS + "{24}")
+_PEM_END = re.compile(r"-----END [A-Z0-9 ]+-----\s*")
+#: Characters that the smallest key container takes.
+_LEAST = 40
 
 
 def der_items(data: bytes, at: int = 0, end: int | None = None) -> list[tuple[int, int, int]] | None:
@@ -144,32 +158,109 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     found = []
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            data = unbase64("".join(m[3].split()))
+            data = unbase64(_GAPS.sub("", m[3]))
             # A key encrypted under its armour has headers and an opaque body.
             if data and (is_private_container(data) or "ENCRYPTED" in m[2] and len(data) % 8 == 0):
                 found.append(("pem", m.start(), m.end()))
     armoured = [(a, b) for _, a, b in found]
     if "eyJ" in text:
         found += [("jwt", m.start(), m.end()) for m in _JWT.finditer(text) if is_signed_token(m[0])]
-    for m in _RUN.finditer(text):
-        run = m[0]
-        # A DER sequence or an OpenSSH container begins with few byte values.
-        if run[:2].lower() == "30" and len(run) % 2 == 0 and (data := _unhex(run)) and is_private_der(data):
-            pass
-        elif run[0] in "Mb" and (data := unbase64(run)) and is_private_container(data):
-            pass
-        else:
+    at = 0
+    for m in _START.finditer(text):
+        if m.start() < at:
             continue
-        if not any(a < m.end() and m.start() < b for a, b in armoured):
-            found.append(("der", m.start(), m.end()))
+        end = _key_from(text, m.start())
+        if end is not None:
+            at = end
+            if not any(a < end and m.start() < b for a, b in armoured):
+                found.append(("der", m.start(), end))
     return found
 
 
-def _unhex(run: str) -> bytes | None:
-    try:
-        return bytes.fromhex(run)
-    except ValueError:
+def _whole(data: bytes) -> int | None:
+    """Bytes that the container at the start of ``data`` takes by its own lengths."""
+    if data.startswith(b"openssh-key-v1\0"):
+        at, left, keys = 15, 3, None
+        while left:
+            if at + 4 > len(data):
+                return None
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+            left -= 1
+            if not left and keys is None:
+                keys = int.from_bytes(data[at : at + 4], "big")
+                if not 1 <= keys <= 16:
+                    return None
+                at, left = at + 4, keys + 1
+        return at if at <= len(data) else None
+    if len(data) < 2 or data[0] != 0x30:
+        return None
+    width = data[1] & 0x7F if data[1] & 0x80 else 0
+    if width > 4 or data[1] == 0x80:
+        return None
+    size = 2 + width + (int.from_bytes(data[2 : 2 + width], "big") if width else data[1])
+    return size if size <= len(data) else None
+
+
+def _hopeless(head: bytes, left: int) -> bool:
+    """Whether no key starts with these bytes, which ``left`` characters at most encode."""
+    if len(head) < 8 or head[0] != 0x30:
+        return False
+    width = head[1] & 0x7F if head[1] & 0x80 else 0
+    size = int.from_bytes(head[2 : 2 + width], "big") if width else head[1]
+    return width > 4 or head[2 + width] not in (0x02, 0x30) or size > left
+
+
+def _key_from(text: str, start: int) -> int | None:
+    """Where the key ends whose base64 or hex starts here; None if none does.
+
+    Its own lengths say how far it goes, so that breaks before its end belong to
+    it and what follows does not; a run that goes on is no key.
+    """
+    hexed = text.startswith("30", start)
+    # Most starts in long runs end here, so a run isn't decoded again and again.
+    if head := (_HEAD16 if hexed else _HEAD64).match(text, start):
+        if _hopeless(bytes.fromhex(head[0]) if hexed else unbase64(head[0]) or b"", len(text) - start):
+            return None
+    run = (_RUN16 if hexed else _RUN64).match(text, start)
+    if run is None or run.end() - start < _LEAST:
+        return None
+    marks = [(m.start(), m.end()) for m in _BREAKS.finditer(text, start, run.end())]
+    # The key may end with any line: the whole run, or what stands before a break.
+    raw = _BREAKS.sub("", run[0])
+    if hexed:
+        need = _whole(bytes.fromhex(raw[: len(raw) // 2 * 2]))
+        wanted = None if need is None else 2 * need
+        confirmed = need is not None and is_private_der(bytes.fromhex(raw[:wanted]))
+    else:
+        body = raw.rstrip("=")
+        data = unbase64(body[: len(body) // 4 * 4]) if len(body) % 4 == 1 else unbase64(body)
+        if data is None:
+            return None
+        if data.startswith(b"-----BEGIN"):
+            inner = data.decode("latin-1")
+            if not any(k == "pem" for k, _, _ in confirmed_spans(inner)):
+                return None
+            need = max(m.end() for m in _PEM_END.finditer(inner))  # certificates may stand beside the key
+            confirmed = True
+        else:
+            need = _whole(data)
+            confirmed = need is not None and is_private_container(data[:need])
+        wanted = None if need is None else -(-need * 4 // 3)
+    if not confirmed:
+        return None
+    at, left = start, wanted
+    for a, b in [*marks, (run.end(), run.end())]:
+        if left <= a - at:
+            end = at + left
+            break
+        left, at = left - (a - at), b
+    else:
+        return None
+    pad = re.compile(f"{_BREAK}?={{1,2}}").match(text, end) if not hexed else None
+    end = pad.end() if pad else end
+    if end < run.end() and not _BREAKS.match(text, end):
         return None
+    return end
 
 
 def spans(text: str) -> list[tuple[str, int, int]]:

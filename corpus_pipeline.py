@@ -6,8 +6,8 @@ stage's rows as Parquet below the cluster's shared folder and reads them again.
 
 * quality: documents that the line classifier scores below 0.3 go. It learns
   from the labelled rows among ``docs``, as its own query does.
-* dedup: of each group of near-duplicates the document with the smallest id
-  stays. Texts are linked whose sets of five-word shingles have a Jaccard
+* dedup: of each group of near-duplicates one row stays: that of the smallest id,
+  or one without an id if none has any. Texts are linked whose sets of five-word shingles have a Jaccard
   similarity of 0.8 or more, every such pair and no other.
 * decontaminate: documents that hold 0.8 or more of a benchmark item's five-word
   shingles go.
@@ -30,6 +30,8 @@ from tidemark.llm.common import read, scratch, ship
 RADIUS = 5
 #: Jaccard similarity from which texts are near-duplicates.
 SIMILARITY = 0.8
+#: Column of the rows' keys within a stage.
+ROW = "__row"
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,21 +40,31 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.good(docs, model)
 
 
+def keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with a key for each row, written out so that it stays the row's own."""
+    at = scratch(spark, "rows")
+    docs.withColumn(ROW, F.monotonically_increasing_id()).write.parquet(at)
+    return spark.read.parquet(at)
+
+
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates: that of the smallest id.
 
-    Rows with a null id stay, for no smallest id can stand for them; of rows
-    with one id all stay or go.
+    Rows are told apart by a key, so of rows that repeat an id one stays, and
+    rows without an id go as well where they are copies.
     """
     ship(spark)
-    found = jaccard.near_duplicates(docs, size=5, threshold=SIMILARITY)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == F.col("__dropped"), "left_anti")
+    rows = keyed(spark, docs)
+    found = jaccard.near_duplicates(rows, id_col=ROW, size=5, threshold=SIMILARITY)
+    groups = rows.select(ROW, "doc_id").join(found, ROW)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(ROW).alias("row")))
+    kept = groups.groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a benchmark item."""
-    return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+    """Rows without a benchmark item, told apart by a key of their own."""
+    return decontaminate.decontaminate(keyed(spark, docs), read(spark, sf_dir, "benchmark"), id_col=ROW).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,5 +64,48 @@ def test_null_ids_and_empty(spark, ranks):
     assert bpe.encode(docs.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
 
 
-def test_pattern_for_java():
-    assert bpe.java_pattern(r"\s+(?!\S)| ?[^\s\p{L}]") == f"[{bpe._WHITE}]+(?![^{bpe._WHITE}])| ?[^{bpe._WHITE}\\p{{L}}]"
+def test_units_are_apart_for_the_pattern(ranks, encoding):
+    import random
+
+    import regex
+
+    pattern = public_tokenizers.PATTERN
+    words = regex.compile(pattern).findall
+    assert bpe.cuts_at_blanks(pattern)
+    rng = random.Random(5)
+    around = ["a", "1", "!", "'s", "", " ", "\n", "  "]
+    texts = [a + x + chr(k) + x + b for k in [*range(0x300), *range(0x1600, 0x1700), *range(0x1F00, 0x2100), 0x3000, 0x3001, 0xFEFF, 0x1F600] for x in ("", " ", "\n") for a, b in [rng.choices(around, k=2)]]
+    texts += ["".join(rng.choices("ab1! \n\t'\x1c\u3000", k=rng.randint(0, 30))) for _ in range(20000)]
+    for t in texts:
+        own = [bpe.unit_text(k) for k in bpe.units(t, True)]
+        assert "".join(own) == t
+        assert [w for u in own for w in words(u)] == words(t)
+        assert sum((encoding.encode_ordinary(u) for u in own), []) == encoding.encode_ordinary(t)
+
+
+@pytest.mark.parametrize("pattern", [r"\p{L}+|\s+", r"[\s\p{L}]+|\s+(?!\S)|\s+", r"\p{N}{1,3}| ?\p{L}+|\s+(?!\S)|\s+", r"a b|\s+(?!\S)|\s+"])
+def test_other_patterns_take_whole_texts(spark, ranks, pattern):
+    assert not bpe.cuts_at_blanks(pattern)
+    other = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    texts = ["the a b  1234 x\n\n y ", "a b a b", " \n", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in bpe.encode(docs, ranks, pattern).collect()}
+    assert got == {k: other.encode_ordinary(t or "") for k, t in enumerate(texts)}
+
+
+def test_long_words(spark, ranks, encoding):
+    import time
+
+    rng = np.random.default_rng(7)
+    letters = list("etaonhisrdlu")
+    sizes = (bpe.LONG - 1, bpe.LONG, bpe.LONG + 1, 3000, 20_000)
+    texts = ["".join(rng.choice(letters, n)) for n in sizes] + ["é" * 600 + "x", "a" * 5000, "x " + "ab" * 2000 + " y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in bpe.encode(docs, ranks, public_tokenizers.PATTERN).collect()}
+    assert got == {k: encoding.encode_ordinary(t) for k, t in enumerate(texts)}
+    word = np.frombuffer("".join(rng.choice(letters, 1_000_000)).encode(), np.uint8)
+    single = np.array([ranks[bytes([b])] for b in range(256)])
+    pairs = bpe.pair_ranks(ranks)
+    began = time.time()
+    assert len(bpe.merge_long(single[word], pairs)) < 600_000
+    assert time.time() - began < 60

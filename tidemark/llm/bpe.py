@@ -1,25 +1,32 @@
 """Byte-level BPE encoding and decoding.
 
-The text is cut into words by the vocabulary's own pattern. Every task numbers
-the distinct words it meets; each distinct word is encoded once by Spark
-higher-order functions that fold the ranked merges over its bytes, looking pairs
-up in a literal rank map; the documents then pick up the ids of their words by
-number. Decoding maps each id to its binary piece and concatenates the pieces.
-All of it is one stage without a shuffle: the words of a task, not those of the
-corpus, are what memory holds, and the table of a task starts anew once it has
-``max_words`` words.
+Every task cuts its texts at blanks where the vocabulary's pattern always starts a
+word, numbers the distinct units it gets, and applies the pattern to each distinct
+unit once. Each distinct word is encoded once by Spark higher-order functions that
+fold the ranked merges over its bytes, looking pairs up in a literal rank map; the
+documents then pick up the ids of their units by number. Decoding maps each id to
+its binary piece and concatenates the pieces. All of it is one stage without a
+shuffle: the words of a task, not those of the corpus, are what memory holds, and
+the table of a task starts anew once it has ``max_words`` entries.
 
 A map literal would be searched from end to end, so the rank map is a literal
-array of small buckets that the pair of ids selects.
+array of small buckets that the pair of ids selects. The fold's state is one array:
+of each part its id, where it starts, and the rank of its merge with the next part
+are packed in one number, so the least number is the merge to make. Its steps cost
+as much as the word is long, so words of over LONG bytes pass it by unmerged; a
+queue of candidate merges in the Python worker does those, in time n log n.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +36,13 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import let, text_or_empty
 
-#: Longer than any word, and far from overflow: "to the end" of a slice.
-LONG = 2**30
-#: Words of more parts than this are merged by copying runs.
-WIDE = 48
+#: Bits of a part's start within its word; words of more bytes than they count are long.
+START_BITS = 10
+LONG = 1 << START_BITS
+#: Bits of a part's id.
+ID_BITS = 20
 #: Number of words a dictionary row carries from Python to the JVM at most.
 WORDS_A_ROW = 2048
-#: Unicode white space as a character class: Java's \s alone is ASCII.
-_WHITE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -45,33 +51,44 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def java_pattern(pattern: str) -> str:
-    """The same pattern for Java's regular expressions.
+def cuts_at_blanks(pattern: str) -> bool:
+    """Whether a word always starts at a blank that something else than white space follows.
 
-    Rust and Python read \\s and \\S as Unicode white space; Java needs it spelt
-    out. Inside a negated class \\s stands beside other classes.
+    So it is if each alternative has a blank at its front only, or is made of
+    white space alone and leaves its last character where something follows.
     """
-    # A run of alternatives that open with an apostrophe: one branch to try, not many.
-    quoted = re.match(r"(?:'[a-z]+\|){2,}", pattern)
-    if quoted:
-        pattern = f"'(?:{quoted[0][1:-1].replace("|'", '|')})|{pattern[quoted.end() :]}"
-    out, k, in_class = [], 0, False
-    while k < len(pattern):
-        two = pattern[k : k + 2]
-        if two == r"\s":
-            out.append(_WHITE if in_class else f"[{_WHITE}]")
-            k += 2
-        elif two == r"\S":
-            out.append(f"[^{_WHITE}]")
-            k += 2
-        elif two[0] == "\\":
-            out.append(two)
-            k += 2
-        else:
-            in_class = {"[": True, "]": False}.get(two[0], in_class)
-            out.append(two[0])
-            k += 1
-    return "".join(out)
+    front = r"'[a-z]+| \?\\p\{[LN]\}\+| \?\[\^\\s\\p\{L\}\\p\{N\}\]\+"
+    return re.fullmatch(rf"(?:(?:{front})\|)+\\s\+\(\?!\\S\)\|\\s\+", pattern) is not None
+
+
+#: White space beside white space or at an end of the text: lines and blanks can't be cut apart simply.
+_UNEVEN = re.compile(r"\s\s|^\s|\s$")
+_BLANK = re.compile(r" (?=\S)")
+
+
+def units(text: str, cuts: bool) -> list[str]:
+    """The text in pieces that the pattern takes apart independently, as keys.
+
+    A key that begins with a newline is the rest of it, any other follows a blank.
+    """
+    if not text:
+        return []
+    if not cuts:
+        return ["\n" + text]
+    if _UNEVEN.search(text):
+        parts = _BLANK.split(text)
+        parts[0] = "\n" + parts[0]
+        return parts
+    keys = []
+    for k, line in enumerate(text.split("\n")):
+        parts = line.split(" ")
+        parts[0] = ("\n\n" if k else "\n") + parts[0]
+        keys += parts
+    return keys
+
+
+def unit_text(key: str) -> str:
+    return key[1:] if key[0] == "\n" else " " + key
 
 
 def _json_literal(value: object, ddl: str) -> Column:
@@ -79,27 +96,23 @@ def _json_literal(value: object, ddl: str) -> Column:
     return F.from_json(F.lit(json.dumps(value, separators=(",", ":"))), ddl)
 
 
-def rank_map(ranks: dict[bytes, int]) -> tuple[Column, int, Column]:
-    """The rank map as a literal array of buckets, their number, and the ids of single bytes.
+def _long(x: int) -> Column:
+    return F.lit(x).cast("bigint")
 
-    Of two neighbouring parts a and b (ids) whose bytes together are a piece,
-    the rank of that piece is the rank of the merge and the id of the merged
-    part. A bucket is [null, key, rank, key, rank, ...]: the position of a key
-    points at its rank, and position 0 (no such key) at the null. A key is
-    (a + 1) * 2**32 + b, beyond any rank.
-    """
-    n = _next_prime(max(2, 2 * len(ranks)))
-    buckets: list[list[int | None]] = [[None] for _ in range(n)]
+
+def _shift(name: str, x: Column, bits: int) -> Column:
+    return F.call_function(name, x, F.lit(bits))
+
+
+def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
+    """The rank of merging two parts (ids) whose bytes together are a piece: that piece's own."""
+    got = {}
     for piece, rank in ranks.items():
         for k in range(1, len(piece)):
             a, b = ranks.get(piece[:k]), ranks.get(piece[k:])
             if a is not None and b is not None:
-                key = (a + 1 << 32) + b
-                buckets[key % n] += [key, rank]
-    single = [ranks.get(bytes([b])) for b in range(256)]
-    if None in single:
-        raise ValueError("the rank file lacks a rank for some single byte")
-    return _json_literal(buckets, "array<array<bigint>>"), n, _json_literal(single, "array<bigint>")
+                got[a, b] = rank
+    return got
 
 
 def _next_prime(n: int) -> int:
@@ -108,62 +121,114 @@ def _next_prime(n: int) -> int:
     return n
 
 
-def _merge_rank(a: Column, b: Column, buckets: Column, n: int) -> Column:
-    """Rank of merging parts a and b (bigint), or null."""
-    key = a * F.lit(1 << 32) + b + F.lit(1 << 32)
-    bucket = F.get(buckets, F.pmod(key, F.lit(n)))
-    return F.get(bucket, F.array_position(bucket, key))
+class RankMap:
+    """The ranked merges as literals for the fold.
 
+    buckets: an array of [NONE, key, rank, key, rank, ...]; the position of a key
+    points at its rank, and position 0 (no such key) at NONE, beyond any rank. A
+    rank is stored where the fold's numbers have it, and a key is beyond any of
+    these. first: the ranks of pairs of single bytes; single: the ids of bytes.
+    """
 
-def _each(n: Column, value) -> Column:
-    """array<bigint>: value(i) for i from 0 to n - 1."""
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), value)).otherwise(F.array().cast("array<bigint>"))
-
-
-def fold_word(word: Column, buckets: Column, n: int, single: Column) -> Column:
-    """array<bigint>: the ids of one word given as its array of bytes.
-
-    The state holds the parts p and, for each neighbouring pair, the rank r of
-    its merge (null: none). The fold takes a step for each byte, more than there are merges.
-    A step merges the leftmost pair of the lowest rank and looks up only the two
-    pairs that this changes; once no pair can merge, the state stays as it is.
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        ids = [ranks.get(bytes([b])) for b in range(256)]
+        if None in ids:
+            raise ValueError("the rank file lacks a rank for some single byte")
+        if max(ranks.values()) >= 1 << ID_BITS:
+            raise ValueError("the rank file has more ranks than the fold counts")
+        pairs = pair_ranks(ranks)
+        self.none = 1 << START_BITS + 2 * ID_BITS
+        self.n = _next_prime(max(2, 2 * len(ranks)))
+        buckets: list[list[int]] = [[self.none] for _ in range(self.n)]
+        for (a, b), rank in pairs.items():
+            key = self.key(a, b)
+            buckets[key % self.n] += [key, rank << START_BITS + ID_BITS]
+        first = [pairs.get((a, b)) for a in ids for b in ids]
+        self.buckets = _json_literal(buckets, "array<array<bigint>>")
+        self.first = _json_literal([self.none if r is None else r << START_BITS + ID_BITS for r in first], "array<bigint>")
+        self.single = _json_literal(ids, "array<bigint>")
+
+    @staticmethod
+    def key(a, b):
+        return a * (1 << ID_BITS) + b + (1 << START_BITS + 2 * ID_BITS + 1)
+
+    def rank(self, a: Column, b: Column, buckets: Column) -> Column:
+        """The rank of merging ids a and b, in place; null if either is."""
+        key = _shift("shiftleft", a, ID_BITS) + (b + _long(self.key(0, 0)))
+        return let(key, lambda k: F.get(F.get(buckets, F.pmod(k, _long(self.n))), F.array_position(F.get(buckets, F.pmod(k, _long(self.n))), k)))
+
+
+def fold_word(word: Column, buckets: Column, known: RankMap) -> Column:
+    """array<bigint>: the parts of one word (its array of bytes); the low ID_BITS of each are its id.
+
+    A number of the state is rank | start | id. The fold takes a step for each
+    byte, more than there are merges. A step merges the leftmost pair of the
+    lowest rank and looks up only the two pairs that this changes; once no pair
+    can merge, the state stays as it is. Words of over LONG bytes stay as bytes.
     """
-    none = F.lit(None).cast("bigint")
+    id_mask, low_mask = (1 << ID_BITS) - 1, (1 << START_BITS + ID_BITS) - 1
+
+    def of_id(x: Column) -> Column:
+        return x.bitwiseAND(_long(id_mask))
+
+    def step(q: Column, _: Column) -> Column:
+        def merge(least: Column, at: Column, one: Column) -> Column:
+            # at: where the pair's first part is, from 1; one: the id of the merged part.
+            before, gone, after = F.get(q, at - 2), F.get(q, at), F.get(q, at + 1)
+            merged = F.coalesce(known.rank(one, of_id(after), buckets), _long(known.none)) + least.bitwiseAND(_long(low_mask - id_mask)) + one
+            moved = known.rank(of_id(before), one, buckets) + before.bitwiseAND(_long(low_mask))
+            new = F.struct(merged.alias("merged"), before.alias("before"), moved.alias("moved"))
+            return let(new, lambda s: F.transform(F.array_remove(q, gone), lambda x: F.when(x == least, s["merged"]).when(x == s["before"], s["moved"]).otherwise(x)))
+
+        def go(least: Column) -> Column:
+            made = let(F.array_position(q, least).cast("int"), lambda at: let(_shift("shiftright", least, START_BITS + ID_BITS), lambda one: merge(least, at, one)))
+            return F.when(least >= _long(known.none), q).otherwise(made)
+
+        return let(F.array_min(q), go)
+
+    start = F.transform(word, lambda b, i: F.coalesce(F.get(known.first, b * 256 + F.get(word, i + 1)), _long(known.none)) + i * _long(1 << ID_BITS) + F.get(known.single, b))
+    return F.when(F.size(word) > LONG, F.transform(word, lambda b: F.get(known.single, b))).otherwise(F.aggregate(word, start, step))
+
+
+def merge_long(ids: np.ndarray, pairs: dict[tuple[int, int], int]) -> list[int]:
+    """The ids of a word given by those of its bytes: the same merges, taken from a queue."""
+    part, left, right = ids.tolist(), [*range(-1, len(ids) - 1)], [*range(1, len(ids) + 1)]
+    n = len(part)
+    queue = [(r, k, part[k], part[k + 1]) for k in range(n - 1) if (r := pairs.get((part[k], part[k + 1]))) is not None]
+    heapq.heapify(queue)
+    while queue:
+        rank, k, a, b = heapq.heappop(queue)
+        after = right[k]
+        if part[k] != a or after >= n or part[after] != b:
+            continue  # one of the two has been merged since
+        part[k], part[after], right[k] = rank, -1, right[after]
+        if right[k] < n:
+            left[right[k]] = k
+            if (r := pairs.get((rank, part[right[k]]))) is not None:
+                heapq.heappush(queue, (r, k, rank, part[right[k]]))
+        if left[k] >= 0 and (r := pairs.get((part[left[k]], rank))) is not None:
+            heapq.heappush(queue, (r, left[k], part[left[k]], rank))
+    return [x for x in part if x >= 0]
 
-    def step(state: Column, _: Column) -> Column:
-        p, r = state["p"], state["r"]
 
-        def merge(at: Column) -> Column:  # index of the first of the two parts
-            one, size = F.get(r, at), F.size(p)
-            before, after = _merge_rank(F.get(p, at - 1), one, buckets, n), _merge_rank(one, F.get(p, at + 2), buckets, n)
-            # Element by element is quicker for common words, copying runs for wide ones.
-            parts = _each(size - 1, lambda i: F.when(i < at, F.get(p, i)).when(i > at, F.get(p, i + 1)).otherwise(one))
-            pairs = _each(size - 2, lambda i: F.when(i < at - 1, F.get(r, i)).when(i > at, F.get(r, i + 1)).when(i == at, after).otherwise(before))
-            wide_parts = F.concat(F.slice(p, 1, at), F.array(one), F.slice(p, at + 3, LONG))
-            wide_pairs = F.concat(F.slice(r, 1, F.greatest(at - 1, F.lit(0))), F.array(before, after), F.slice(r, at + 3, LONG))
-            wide_pairs = F.slice(wide_pairs, F.when(at > 0, 1).otherwise(2), size - 2)
-            wide = size > WIDE
-            return F.struct(F.when(wide, wide_parts).otherwise(parts).alias("p"), F.when(wide, wide_pairs).otherwise(pairs).alias("r"))
+#: The type of rows of words, a word being the list of its bytes.
+_BYTES = pa.list_(pa.list_(pa.int32()))
 
-        least = F.array_min(r)
-        at = F.array_position(r, least).cast("int") - 1
-        return F.when(least.isNull(), state).otherwise(let(at, merge))
 
-    parts = F.transform(word, lambda b: F.get(single, b))
-    start = let(parts, lambda p: F.struct(p.alias("p"), _each(F.size(p) - 1, lambda i: _merge_rank(F.get(p, i), F.get(p, i + 1), buckets, n)).alias("r")))
-    return F.aggregate(word, start, step, lambda s: s["p"])
+def _lists(values: np.ndarray, sizes: list[int]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), values)
 
 
-#: The type of rows of words, a word being the list of its bytes.
-_BYTES = pa.list_(pa.list_(pa.int32()))
+def _rows_of(items: list, width: int) -> list[int]:
+    """How many of these items each row takes: ``width``, the last one the rest."""
+    return [min(width, len(items) - k) for k in range(0, len(items), width)]
 
 
-def _byte_arrays(rows: list[list[str]]) -> pa.ListArray:
-    words = [w.encode() for row in rows for w in row]
-    flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int32)
-    ends = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int32)
-    row_ends = np.concatenate([[0], np.cumsum([len(row) for row in rows])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(row_ends), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+def _byte_arrays(words: list[str]) -> pa.ListArray:
+    """Rows of WORDS_A_ROW words at most, each the list of its bytes."""
+    data = [w.encode() for w in words]
+    flat = _lists(pa.array(np.frombuffer(b"".join(data), np.uint8).astype(np.int32)), [len(w) for w in data])
+    return _lists(flat, _rows_of(words, WORDS_A_ROW))
 
 
 def _sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
@@ -173,102 +238,152 @@ def _sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordB
             yield batch.slice(k, rows)
 
 
-def _number_words(max_words: int):
+def _newest(known: dict, old: int) -> list:
+    """The keys that came after the first ``old``."""
+    return [*islice(reversed(known), len(known) - old)][::-1]
+
+
+def _number_units(pattern: str, max_words: int):
+    cuts = cuts_at_blanks(pattern)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Number the words of this task; send each new one on before its first use.
+        """Number the units of this task and their words; send new ones on before their first use.
 
-        Rows out: a dictionary row has words (and ``fresh`` where the numbering
-        starts anew), a document row has the numbers of its words.
+        Rows out: a dictionary row has new words, or new units as the numbers of
+        their words (``fresh`` where the numbering starts anew); a document row
+        has the numbers of its units.
         """
+        import regex
+
+        words_of = regex.compile(pattern).findall
         known: dict[str, int] = {}
-        fresh = True
-        for batch in _sliced(batches, 1024):
-            if len(known) > max_words:
-                known, fresh = {}, True
-            words = batch.column("words")
-            flat = words.flatten().dictionary_encode()
-            distinct = flat.dictionary.to_pylist()
-            new = [w for w in distinct if w not in known]
-            for w in new:
-                known[w] = len(known)
-            numbers = np.fromiter((known[w] for w in distinct), np.int32, len(distinct))
-            numbers = numbers[flat.indices.to_numpy(zero_copy_only=False)] if len(flat) else np.empty(0, np.int32)
-            chunks = [new[i : i + WORDS_A_ROW] for i in range(0, len(new), WORDS_A_ROW)] or ([[]] if fresh else [])
-            if chunks:
-                k = len(chunks)
-                yield pa.record_batch(
-                    [pa.nulls(k, batch.schema.field("doc").type), pa.nulls(k, pa.list_(pa.int32())), _byte_arrays(chunks), pa.array([fresh] + [False] * (k - 1))],
-                    ["doc", "numbers", "new", "fresh"],
-                )
-                fresh = False
-            # flatten() leaves out what null lists cover; here no list is null.
-            offsets = np.concatenate([[0], np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int32)
-            rows = pa.ListArray.from_arrays(pa.array(offsets), pa.array(numbers))
-            m = batch.num_rows
-            yield pa.record_batch([batch.column("doc"), rows, pa.nulls(m, _BYTES), pa.array([False] * m)], ["doc", "numbers", "new", "fresh"])
+        words: dict[str, int] = {}
+        for k, batch in enumerate(_sliced(batches, 512)):
+            fresh = not k or len(known) + len(words) > max_words
+            if fresh:
+                known, words = defaultdict(count().__next__), defaultdict(count().__next__)
+            old, old_words = len(known), len(words)
+            keys, sizes = [], []
+            for text in batch.column("text"):
+                own = units(text.as_py(), cuts)
+                keys += own
+                sizes.append(len(own))
+            numbers = np.fromiter(map(known.__getitem__, keys), np.int32, len(keys))
+            del keys
+            made, made_sizes = [], []
+            for key in _newest(known, old):
+                own = words_of(unit_text(key))
+                made += own
+                made_sizes.append(len(own))
+            made = np.fromiter(map(words.__getitem__, made), np.int32, len(made))
+            doc = batch.schema.field("doc").type
+            new = _newest(words, old_words)
+            if new or fresh:
+                rows = _byte_arrays(new) if new else pa.array([[]], _BYTES)
+                n = len(rows)
+                yield pa.record_batch([pa.nulls(n, doc), pa.nulls(n, pa.list_(pa.int32())), rows, pa.nulls(n, _UNITS), pa.array([fresh] + [False] * (n - 1))], _NAMES)
+            if made_sizes:
+                rows = _lists(_lists(pa.array(made), made_sizes), _rows_of(made_sizes, 8 * WORDS_A_ROW))
+                n = len(rows)
+                yield pa.record_batch([pa.nulls(n, doc), pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, _BYTES), rows, pa.array([False] * n)], _NAMES)
+            n = batch.num_rows
+            yield pa.record_batch([batch.column("doc"), _lists(pa.array(numbers), sizes), pa.nulls(n, _BYTES), pa.nulls(n, _UNITS), pa.array([False] * n)], _NAMES)
 
     return run
 
 
+_UNITS = pa.list_(pa.list_(pa.int32()))
+_NAMES = ["doc", "numbers", "new", "units", "fresh"]
+
+
 class _Table:
-    """Ids by number of word: one flat array and where each word's ids lie in it."""
+    """Ids by number, of words or units: one flat array and where each one's ids lie in it."""
 
     def __init__(self) -> None:
-        self.ids, self.starts, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids, self.ends, self.n, self.size = np.empty(1 << 16, np.int32), np.zeros(1 << 16, np.int64), 0, 0
 
-    def add(self, rows: pa.ListArray) -> None:
-        words = rows.flatten()
-        sizes = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, words.flatten().to_numpy(zero_copy_only=False).astype(np.int32)])
-        self.starts = np.cumsum(self.sizes) - self.sizes
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        while self.size + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while self.n + len(sizes) + 1 > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.empty_like(self.ends)])
+        self.ids[self.size : self.size + len(ids)] = ids
+        self.ends[self.n + 1 : self.n + 1 + len(sizes)] = self.size + np.cumsum(sizes)
+        self.n, self.size = self.n + len(sizes), self.size + len(ids)
 
     def pick(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of these words one after another, and how many each word has."""
-        sizes = self.sizes[numbers]
+        """The ids of these one after another, and how many each has."""
+        starts = self.ends[numbers]
+        sizes = self.ends[numbers + 1] - starts
         ends = np.cumsum(sizes)
-        shift = np.repeat(self.starts[numbers] - (ends - sizes), sizes)
-        return self.ids[shift + np.arange(len(shift))], sizes
-
-
-def _pick_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Give each document the ids of its words, as a list and as little-endian bytes."""
-    table = _Table()
-    for batch in _sliced(batches, 512):
-        is_word = batch.column("new_ids").is_valid().to_numpy(zero_copy_only=False)
-        fresh = batch.column("fresh").to_numpy(zero_copy_only=False)
-        # Rows keep their order, so runs of one kind are taken one after another;
-        # a fresh start opens a run of its own.
-        edges = np.flatnonzero((is_word[1:] != is_word[:-1]) | fresh[1:]) + 1
-        for a, b in zip([0, *edges], [*edges, batch.num_rows], strict=True):
-            if b == a:
-                continue
-            if is_word[a]:
-                if fresh[a]:
-                    table = _Table()
-                table.add(batch.column("new_ids").slice(a, b - a))
-                continue
-            rows = batch.column("numbers").slice(a, b - a)
-            numbers = rows.flatten().to_numpy(zero_copy_only=False)
-            each = rows.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            ids, sizes = table.pick(numbers)
-            word_ends = np.concatenate([[0], np.cumsum(sizes)])
-            ends = word_ends[np.concatenate([[0], np.cumsum(each)])]
-            ids = ids.astype("<i4")
-            binary = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(ids)])
-            yield pa.record_batch([batch.column("doc").slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)), binary], ["doc", "ids", "ids_le"])
+        return self.ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
+
+
+def _flat(rows: pa.ListArray) -> np.ndarray:
+    return rows.flatten().to_numpy(zero_copy_only=False)
+
+
+def _sizes(rows: pa.ListArray) -> np.ndarray:
+    return rows.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _pick_ids(ranks: dict[bytes, int]):
+    pairs: dict[tuple[int, int], int] = {}
+
+    def folded(rows: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, and how many each has; unmerged ones are merged."""
+        words = rows.flatten()
+        ids, sizes = (_flat(words) & (1 << ID_BITS) - 1).astype(np.int32), _sizes(words)
+        if sizes.max(initial=0) <= LONG:
+            return ids, sizes
+        if not pairs:
+            pairs.update(pair_ranks(ranks))
+        each = [merge_long(x, pairs) if len(x) > LONG else x for x in np.split(ids, np.cumsum(sizes)[:-1])]
+        return np.concatenate(each).astype(np.int32), np.array([len(x) for x in each])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Give each document the ids of its units, as a list and as little-endian bytes."""
+        words, table = _Table(), _Table()
+        for batch in _sliced(batches, 512):
+            kind = np.where(batch.column("new_ids").is_valid(), 1, np.where(batch.column("units").is_valid(), 2, 0))
+            fresh = batch.column("fresh").to_numpy(zero_copy_only=False)
+            # Rows keep their order, so runs of one kind are taken one after another;
+            # a fresh start opens a run of its own.
+            edges = np.flatnonzero((kind[1:] != kind[:-1]) | fresh[1:]) + 1
+            for a, b in zip([0, *edges], [*edges, batch.num_rows], strict=True):
+                if b == a:
+                    continue
+                if kind[a] == 1:
+                    if fresh[a]:
+                        words, table = _Table(), _Table()
+                    words.add(*folded(batch.column("new_ids").slice(a, b - a)))
+                    continue
+                if kind[a] == 2:
+                    rows = batch.column("units").slice(a, b - a).flatten()
+                    ids, sizes = words.pick(_flat(rows))
+                    ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(_sizes(rows))]
+                    table.add(ids, np.diff(ends, prepend=0))
+                    continue
+                rows = batch.column("numbers").slice(a, b - a)
+                ids, sizes = table.pick(_flat(rows))
+                ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(_sizes(rows))])]
+                ids = ids.astype("<i4")
+                binary = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.record_batch([batch.column("doc").slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)), binary], ["doc", "ids", "ids_le"])
+
+    return run
 
 
 def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text_col: str, max_words: int, finish, columns: str) -> DataFrame:
     """What ``finish`` makes of the batches (doc, ids, ids_le), in the Python worker that made them."""
     kind = docs.schema[id_col].dataType.simpleString()
-    words = docs.select(F.col(id_col).alias("doc"), F.regexp_extract_all(text_or_empty(text_col), F.lit(java_pattern(pattern)), F.lit(0)).alias("words"))
-    numbered = words.mapInArrow(_number_words(max_words), f"doc {kind}, numbers array<int>, new array<array<int>>, fresh boolean")
-    table, n, single = rank_map(ranks)
+    texts = docs.select(F.col(id_col).alias("doc"), text_or_empty(text_col).alias("text"))
+    numbered = texts.mapInArrow(_number_units(pattern, max_words), f"doc {kind}, numbers array<int>, new array<array<int>>, units array<array<int>>, fresh boolean")
+    known, pick = RankMap(ranks), _pick_ids(ranks)
     # A lambda's variable stands for the table, so that the plan holds it once.
-    new_ids = let(table, lambda t: F.transform("new", lambda w: fold_word(w, t, n, single)))
-    folded = numbered.select("doc", "numbers", new_ids.alias("new_ids"), "fresh")
-    return folded.mapInArrow(lambda batches: finish(_pick_ids(batches)), f"doc {kind}, {columns}").withColumnRenamed("doc", id_col)
+    new_ids = let(known.buckets, lambda t: F.transform("new", lambda w: fold_word(w, t, known)))
+    folded = numbered.select("doc", "numbers", new_ids.alias("new_ids"), "units", "fresh")
+    return folded.mapInArrow(lambda batches: finish(pick(batches)), f"doc {kind}, {columns}").withColumnRenamed("doc", id_col)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", max_words: int = 1_000_000) -> DataFrame:
@@ -278,7 +393,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     texts give no ids. Rows are kept as they are: repeated rows and null
     ``id_col`` stay, and an empty table gives an empty one. Other columns of
     ``docs`` are left out, so none can clash. A text is encoded in full whatever
-    its length; the merges of one unbroken word of n bytes take time in n * n.
+    its length; one unbroken word of n bytes takes time in n log n.
     """
     return _encoded(docs, ranks, pattern, id_col, text_col, max_words, lambda batches: batches, "ids array<int>, ids_le binary")
 

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -26,10 +27,52 @@ def test_pieces_give_the_ids_of_the_whole(monkeypatch):
     letters = list("a\x01eéΣİ's'.,!? \n\t\x0b\x1ć̈🙂0") + ["the", "'ll", "\r\n", "<|endoftext|>"]
     texts = [*TEXTS, *("".join(rng.choice(letters, 40)) for _ in range(400))]
     own = tokenids.encoder(PATH)
-    got = [b for k in range(0, len(texts), 7) for b in own.encode([t or "" for t in texts[k : k + 7]], b"")]
+    got = [b for k in range(0, len(texts), 7) for b in own.encode(pa.array([t or "" for t in texts[k : k + 7]]), b"")]
     assert [np.frombuffer(b, "<u4").tolist() for b in got] == reference(texts)
 
 
+def test_plain_pieces(monkeypatch):
+    monkeypatch.setattr(tokenids, "CACHED_PIECES", 300)
+    rng = np.random.default_rng(6)
+    letters = list("abctheings") * 3 + [chr(k) for k in [*range(33, 127), *range(0xA1, 0x100)]] + list("    \n")
+    texts = ["".join(rng.choice(letters, 60)) for _ in range(600)] + ["it's IT'S don't 's 'S a'll1x2 ×÷ ß ÀÉÿ A\u0301 É\u0323 naïve, end."]
+    own = tokenids.Encoder(PATH)
+    assert own.model is not None
+    got = [b for k in range(0, len(texts), 50) for b in own.encode(pa.array(texts[k : k + 50]), b"")]
+    assert [np.frombuffer(b, "<u4").tolist() for b in got] == reference(texts)
+
+
+def test_tokenizers_that_keep_blanks_get_whole_texts(spark, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own = tokenids.Encoder(path)
+    assert not own.apart
+    texts = ["", "a  b\n\n c", "<|endoftext|> it's", " x "]
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(pa.array(texts), b"")] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    shards = tokenids.write(docs, f"file://{tmp_path}/whole", path, end_id=None)
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in tokenids.read(spark, shards).collect()} == dict(enumerate(want))
+
+
+def test_which_files_allow_pieces():
+    import json
+
+    spec = json.load(open(PATH))
+    assert tokenids.split_pattern(spec)
+    for change in (
+        lambda s: s.update(normalizer=None),
+        lambda s: s["normalizer"]["normalizers"].pop(),
+        lambda s: s["pre_tokenizer"]["pretokenizers"][1].update(add_prefix_space=True),
+        lambda s: s["pre_tokenizer"]["pretokenizers"][0].update(pattern={"Regex": r"\s?[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}),
+        lambda s: s["added_tokens"].append({"content": "a b", "special": False}),
+    ):
+        other = json.loads(json.dumps(spec))
+        change(other)
+        assert tokenids.split_pattern(other) is None
+
+
 def test_round_trip(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tokenids, "FRAME_IDS", 16)
     rows = [(k * 3 % 31 - 5, t) for k, t in enumerate(TEXTS * 3)] + [(None, "null id"), (None, None)]

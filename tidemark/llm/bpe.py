@@ -30,11 +30,12 @@ from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import let, text_or_empty
+from tidemark.llm.common import Table, let, text_or_empty, tidy
 
 #: Bits of a part's start within its word; words of more bytes than they count are long.
 START_BITS = 10
@@ -61,34 +62,36 @@ def cuts_at_blanks(pattern: str) -> bool:
     return re.fullmatch(rf"(?:(?:{front})\|)+\\s\+\(\?!\\S\)\|\\s\+", pattern) is not None
 
 
-#: White space beside white space or at an end of the text: lines and blanks can't be cut apart simply.
-_UNEVEN = re.compile(r"\s\s|^\s|\s$")
+#: What keeps a text from being cut at its blanks and line ends alone: white space
+#: beside white space or at an end, or of another kind (all that Python knows).
+_UNEVEN = r"[ \n][ \n]|\A[ \n]|[ \n]\z|\A\z|[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _BLANK = re.compile(r" (?=\S)")
 
 
 def units(text: str, cuts: bool) -> list[str]:
     """The text in pieces that the pattern takes apart independently, as keys.
 
-    A key that begins with a newline is the rest of it, any other follows a blank.
+    After a return a key stands for the rest of it, after a newline for itself;
+    any other follows a blank.
     """
     if not text:
         return []
-    if not cuts:
-        return ["\n" + text]
-    if _UNEVEN.search(text):
-        parts = _BLANK.split(text)
-        parts[0] = "\n" + parts[0]
-        return parts
-    keys = []
-    for k, line in enumerate(text.split("\n")):
-        parts = line.split(" ")
-        parts[0] = ("\n\n" if k else "\n") + parts[0]
-        keys += parts
-    return keys
+    parts = _BLANK.split(text) if cuts else [text]
+    parts[0] = "\r" + parts[0]
+    return parts
 
 
 def unit_text(key: str) -> str:
-    return key[1:] if key[0] == "\n" else " " + key
+    return key[1:] if key[0] == "\r" else key if key[0] == "\n" else " " + key
+
+
+def unit_lists(texts: pa.StringArray, cuts: bool) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+    """Which of the texts (a mask), and the keys of each: first even texts, then the others."""
+    uneven = pc.match_substring_regex(texts, _UNEVEN) if cuts else pa.array([True] * len(texts), pa.bool_())
+    even = pc.invert(uneven)
+    marked = pc.binary_join_element_wise("\r", pc.replace_substring(texts.filter(even), "\n", " \n"), "")
+    yield even, pc.split_pattern(marked, " ")
+    yield uneven, pa.array([units(t.as_py(), cuts) for t in texts.filter(uneven)], pa.list_(pa.string()))
 
 
 def _json_literal(value: object, ddl: str) -> Column:
@@ -243,82 +246,58 @@ def _newest(known: dict, old: int) -> list:
     return [*islice(reversed(known), len(known) - old)][::-1]
 
 
+def _each(values: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
+    """Runs of these 32-bit numbers, of so many each, as bytes."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]) * 4
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values, np.int32))])
+
+
 def _number_units(pattern: str, max_words: int):
     cuts = cuts_at_blanks(pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Number the units of this task and their words; send new ones on before their first use.
 
-        Rows out: a dictionary row has new words, or new units as the numbers of
-        their words (``fresh`` where the numbering starts anew); a document row
-        has the numbers of its units.
+        Rows out: a row of new words; a row of new units, with the numbers of
+        their words and how many each has (``fresh`` where the numbering starts
+        anew); or a document, with the numbers of its units.
         """
         import regex
 
         words_of = regex.compile(pattern).findall
         known: dict[str, int] = {}
         words: dict[str, int] = {}
-        for k, batch in enumerate(_sliced(batches, 512)):
-            fresh = not k or len(known) + len(words) > max_words
-            if fresh:
-                known, words = defaultdict(count().__next__), defaultdict(count().__next__)
-            old, old_words = len(known), len(words)
-            keys, sizes = [], []
-            for text in batch.column("text"):
-                own = units(text.as_py(), cuts)
-                keys += own
-                sizes.append(len(own))
-            numbers = np.fromiter(map(known.__getitem__, keys), np.int32, len(keys))
-            del keys
-            made, made_sizes = [], []
-            for key in _newest(known, old):
-                own = words_of(unit_text(key))
-                made += own
-                made_sizes.append(len(own))
-            made = np.fromiter(map(words.__getitem__, made), np.int32, len(made))
+        fresh = True
+        for batch in _sliced(batches, 1024):
             doc = batch.schema.field("doc").type
-            new = _newest(words, old_words)
-            if new or fresh:
-                rows = _byte_arrays(new) if new else pa.array([[]], _BYTES)
-                n = len(rows)
-                yield pa.record_batch([pa.nulls(n, doc), pa.nulls(n, pa.list_(pa.int32())), rows, pa.nulls(n, _UNITS), pa.array([fresh] + [False] * (n - 1))], _NAMES)
-            if made_sizes:
-                rows = _lists(_lists(pa.array(made), made_sizes), _rows_of(made_sizes, 8 * WORDS_A_ROW))
-                n = len(rows)
-                yield pa.record_batch([pa.nulls(n, doc), pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, _BYTES), rows, pa.array([False] * n)], _NAMES)
-            n = batch.num_rows
-            yield pa.record_batch([batch.column("doc"), _lists(pa.array(numbers), sizes), pa.nulls(n, _BYTES), pa.nulls(n, _UNITS), pa.array([False] * n)], _NAMES)
+            none = lambda n: {"doc": pa.nulls(n, doc), "numbers": pa.nulls(n, pa.binary()), "sizes": pa.nulls(n, pa.binary()), "new": pa.nulls(n, _BYTES), "fresh": pa.array([False] * n)}  # noqa: B023, E731
+            for mask, lists in unit_lists(batch.column("text"), cuts):
+                if fresh or len(known) + len(words) > max_words:
+                    known, words, fresh = defaultdict(count().__next__), defaultdict(count().__next__), True
+                old, old_words = len(known), len(words)
+                flat = lists.flatten().dictionary_encode()
+                numbers = np.fromiter(map(known.__getitem__, flat.dictionary.to_numpy(zero_copy_only=False).tolist()), np.int32, len(flat.dictionary))
+                numbers = numbers[flat.indices.to_numpy()]
+                made, sizes = [], []
+                for key in _newest(known, old):
+                    own = words_of(unit_text(key))
+                    made += own
+                    sizes.append(len(own))
+                made = np.fromiter(map(words.__getitem__, made), np.int32, len(made))
+                new = _newest(words, old_words)
+                if new or fresh:
+                    rows = _byte_arrays(new) if new else pa.array([[]], _BYTES)
+                    starts = [fresh] + [False] * (len(rows) - 1)
+                    yield pa.RecordBatch.from_pydict(none(len(rows)) | {"new": rows, "fresh": pa.array(starts)})
+                    fresh = False
+                if sizes:
+                    yield pa.RecordBatch.from_pydict(none(1) | {"numbers": _each(made, [len(made)]), "sizes": _each(np.array(sizes), [len(sizes)])})
+                if len(lists):
+                    yield pa.RecordBatch.from_pydict(none(len(lists)) | {"doc": batch.column("doc").filter(mask), "numbers": _each(numbers, _sizes(lists))})
 
     return run
 
 
-_UNITS = pa.list_(pa.list_(pa.int32()))
-_NAMES = ["doc", "numbers", "new", "units", "fresh"]
-
-
-class _Table:
-    """Ids by number, of words or units: one flat array and where each one's ids lie in it."""
-
-    def __init__(self) -> None:
-        self.ids, self.ends, self.n, self.size = np.empty(1 << 16, np.int32), np.zeros(1 << 16, np.int64), 0, 0
-
-    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        while self.size + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while self.n + len(sizes) + 1 > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.empty_like(self.ends)])
-        self.ids[self.size : self.size + len(ids)] = ids
-        self.ends[self.n + 1 : self.n + 1 + len(sizes)] = self.size + np.cumsum(sizes)
-        self.n, self.size = self.n + len(sizes), self.size + len(ids)
-
-    def pick(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of these one after another, and how many each has."""
-        starts = self.ends[numbers]
-        sizes = self.ends[numbers + 1] - starts
-        ends = np.cumsum(sizes)
-        return self.ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
-
-
 def _flat(rows: pa.ListArray) -> np.ndarray:
     return rows.flatten().to_numpy(zero_copy_only=False)
 
@@ -327,6 +306,11 @@ def _sizes(rows: pa.ListArray) -> np.ndarray:
     return rows.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def _numbers(rows: pa.BinaryArray) -> np.ndarray:
+    """The 32-bit numbers of all rows."""
+    return np.frombuffer(b"".join(x.as_buffer() for x in rows), np.int32)
+
+
 def _pick_ids(ranks: dict[bytes, int]):
     pairs: dict[tuple[int, int], int] = {}
 
@@ -343,9 +327,9 @@ def _pick_ids(ranks: dict[bytes, int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Give each document the ids of its units, as a list and as little-endian bytes."""
-        words, table = _Table(), _Table()
+        words, table = Table(), Table()
         for batch in _sliced(batches, 512):
-            kind = np.where(batch.column("new_ids").is_valid(), 1, np.where(batch.column("units").is_valid(), 2, 0))
+            kind = np.where(batch.column("new_ids").is_valid(), 1, np.where(batch.column("sizes").is_valid(), 2, 0))
             fresh = batch.column("fresh").to_numpy(zero_copy_only=False)
             # Rows keep their order, so runs of one kind are taken one after another;
             # a fresh start opens a run of its own.
@@ -355,18 +339,17 @@ def _pick_ids(ranks: dict[bytes, int]):
                     continue
                 if kind[a] == 1:
                     if fresh[a]:
-                        words, table = _Table(), _Table()
+                        words, table = Table(), Table()
                     words.add(*folded(batch.column("new_ids").slice(a, b - a)))
                     continue
+                numbers = batch.column("numbers").slice(a, b - a)
                 if kind[a] == 2:
-                    rows = batch.column("units").slice(a, b - a).flatten()
-                    ids, sizes = words.pick(_flat(rows))
-                    ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(_sizes(rows))]
+                    ids, each = words.pick(_numbers(numbers))
+                    ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum(_numbers(batch.column("sizes").slice(a, b - a)))]
                     table.add(ids, np.diff(ends, prepend=0))
                     continue
-                rows = batch.column("numbers").slice(a, b - a)
-                ids, sizes = table.pick(_flat(rows))
-                ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(_sizes(rows))])]
+                ids, each = table.pick(_numbers(numbers))
+                ends = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(pc.binary_length(numbers).to_numpy() // 4)])]
                 ids = ids.astype("<i4")
                 binary = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(ids)])
                 yield pa.record_batch([batch.column("doc").slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)), binary], ["doc", "ids", "ids_le"])
@@ -378,12 +361,12 @@ def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str
     """What ``finish`` makes of the batches (doc, ids, ids_le), in the Python worker that made them."""
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc"), text_or_empty(text_col).alias("text"))
-    numbered = texts.mapInArrow(_number_units(pattern, max_words), f"doc {kind}, numbers array<int>, new array<array<int>>, units array<array<int>>, fresh boolean")
+    numbered = texts.mapInArrow(tidy(_number_units(pattern, max_words)), f"doc {kind}, numbers binary, sizes binary, new array<array<int>>, fresh boolean")
     known, pick = RankMap(ranks), _pick_ids(ranks)
     # A lambda's variable stands for the table, so that the plan holds it once.
     new_ids = let(known.buckets, lambda t: F.transform("new", lambda w: fold_word(w, t, known)))
-    folded = numbered.select("doc", "numbers", new_ids.alias("new_ids"), "units", "fresh")
-    return folded.mapInArrow(lambda batches: finish(pick(batches)), f"doc {kind}, {columns}").withColumnRenamed("doc", id_col)
+    folded = numbered.select("doc", "numbers", "sizes", new_ids.alias("new_ids"), "fresh")
+    return folded.mapInArrow(tidy(lambda batches: finish(pick(batches))), f"doc {kind}, {columns}").withColumnRenamed("doc", id_col)
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", max_words: int = 1_000_000) -> DataFrame:
@@ -435,7 +418,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids", ou
             out = [x.values.to_numpy() if x.is_valid else None for x in lists]
             yield batch.append_column(out_col, pa.array([None if x is None else decoder(x) for x in out], pa.binary()))
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(out_col, T.BinaryType())]))
+    return encoded.mapInArrow(tidy(run), T.StructType([*encoded.schema.fields, T.StructField(out_col, T.BinaryType())]))
 
 
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", max_words: int = 1_000_000) -> DataFrame:

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +69,68 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def tidy(run):
+    """``run`` over a task's batches; what it no longer needs then goes back to the system.
+
+    Spark keeps Python workers for later tasks, and with them what their
+    allocators hold.
+    """
+
+    def wrapped(batches):
+        import ctypes
+
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
+class Table:
+    """Token ids by number, of words or pieces: one flat array and where each one's ids lie in it."""
+
+    def __init__(self) -> None:
+        self.ids, self.ends, self.n, self.size = np.empty(1 << 16, np.int32), np.zeros(1 << 16, np.int64), 0, 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        while self.size + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while self.n + len(sizes) + 1 > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.empty_like(self.ends)])
+        self.ids[self.size : self.size + len(ids)] = ids
+        self.ends[self.n + 1 : self.n + 1 + len(sizes)] = self.size + np.cumsum(sizes)
+        self.n, self.size = self.n + len(sizes), self.size + len(ids)
+
+    def pick(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these one after another, and how many each has."""
+        starts = self.ends[numbers]
+        sizes = self.ends[numbers + 1] - starts
+        ends = np.cumsum(sizes)
+        return self.ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)], sizes
+
+
+class Workspace:
+    """Intermediate tables as Parquet below the shared folder, removed together."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.at, self.n = spark, scratch(spark, name), 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        path = f"{self.at}/{self.n}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        drop_path(self.spark, self.at)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a path through the cluster's own file system layer."""
     jvm = spark.sparkContext._jvm

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import tidy
+
 #: Buckets of n-grams (a power of two), and the orders counted.
 BITS, ORDERS = 15, (1, 2, 3)
 #: Characters that numpy works on at once; a longer text is a chunk of its own.
@@ -122,7 +124,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     given = docs.where(~held_out(id_col) & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     given = given.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    counts = given.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = given.mapInArrow(tidy(count), "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = counts.toArrow()  # languages times buckets, at most
     langs = sorted(set(table.column("lang").to_pylist()))
     at = {x: k for k, x in enumerate(langs)}
@@ -154,5 +156,5 @@ def predicted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
             yield pa.record_batch([batch.column("id"), pa.array(names, pa.string()), pa.array(best, pa.float64())], ["id", "lang_pred", "score"])
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    got = given.mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    got = given.mapInArrow(tidy(run), f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
     return got.select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import tidy
+
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "pem", "jwt", "der")
 
@@ -298,7 +300,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             yield pa.record_batch([batch.column("id"), pa.array(found, pa.list_(item))], ["id", "spans"])
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return given.mapInArrow(run, f"id {kind}, spans array<struct<kind: string, start: int, end: int>>").withColumnRenamed("id", id_col)
+    return given.mapInArrow(tidy(run), f"id {kind}, spans array<struct<kind: string, start: int, end: int>>").withColumnRenamed("id", id_col)
 
 
 def digests(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -327,7 +329,7 @@ def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
             k = batch.schema.get_field_index(text_col)
             yield batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def sha256_of(found: list[tuple[str, int, int]]) -> str:

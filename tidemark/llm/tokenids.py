@@ -15,6 +15,8 @@ frames of the documents asked for, and checks each against its checksum.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -22,11 +24,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import Table, text_or_empty, tidy
 from tidemark.llm.files import publish, resolve
 
 #: Fixed values of the seekable format, and of the skippable frame of the directory.
@@ -40,56 +43,155 @@ CACHED_PIECES = 1_000_000
 
 #: Stands between pieces that are encoded together.
 MARK = "\x01"
+#: Characters that a normalizer of the known kind lower-cases one by one and leaves alone otherwise.
+_PLAIN = re.compile("[!-~\u00c0-\u00ff]+")
+#: Letters with at most marks behind them.
+_SIMPLE = re.compile("([A-Za-z]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
-class Encoder:
-    """The ids that a tokenizer file gives a text, by its pieces between ASCII white space.
+def split_pattern(spec: dict) -> str | None:
+    """The pattern of a tokenizer file (its JSON) under which pieces between white space are independent.
+
+    So they are if the normalizer only composes, replaces white space and
+    lower-cases, and the words are the matches of a pattern that takes no white
+    space and looks at nothing beyond a match. None for any other file.
+    """
+    normalizer, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    steps = [(n.get("type"), (n.get("pattern") or {}).get("Regex"), n.get("content")) for n in normalizer.get("normalizers", [])]
+    parts = pre.get("pretokenizers", [])
+    if steps != [("NFC", None, None), ("Replace", r"\s+", " "), ("Lowercase", None, None)] or [x.get("type") for x in parts] != ["Split", "ByteLevel"]:
+        return None
+    split, to_bytes = parts
+    pattern = (split.get("pattern") or {}).get("Regex", "")
+    known = split.get("behavior") == "Removed" and split.get("invert") and not to_bytes.get("add_prefix_space") and not to_bytes.get("use_regex")
+    alone = re.fullmatch(r"(?:'[a-z]+\|)*\[\\p\{L\}\]\+\|\[\\p\{N\}\]\+?\|\[\^\\s\\p\{L\}\\p\{N\}\]\+", pattern)
+    plain = all(t.get("special") for t in spec.get("added_tokens") or []) and spec.get("model", {}).get("type") == "BPE"
+    return pattern if known and alone and plain and not spec.get("post_processor") else None
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself if it prints, else the next from U+0100 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
-    The tokenizer's pattern matches no white space and looks at nothing beyond a
-    match, and its normalizer composes nothing across a blank, so the ids of a
-    text are those of its pieces; each distinct piece is encoded once. Calls cost
-    more than pieces do, so thousands go in one call with a mark between them;
-    pieces that have the mark in them are encoded by themselves.
+
+class Encoder:
+    """The ids that a tokenizer file gives a text.
+
+    Where the file allows it (split_pattern), by its pieces between ASCII white
+    space, each distinct piece once: pieces of plain characters are lower-cased
+    and cut into words here, and each distinct word goes through the file's
+    model; others go through the whole tokenizer. Calls cost more than words do,
+    so thousands go in one call; pieces that go through the tokenizer have a
+    mark between them, and those that have the mark in them are encoded by
+    themselves. Any other file gets whole texts.
     """
 
     def __init__(self, path: str) -> None:
         import os
 
-        from tokenizers import Tokenizer
+        import regex
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are what runs in parallel
         self.plain = Tokenizer.from_file(path)
         self.plain.encode_special_tokens = True  # their strings in a text are ordinary text
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        pattern = split_pattern(spec)
+        self.apart = pattern is not None
         # A control character that stands alone is one token, which no text without it gives.
         mark = self.plain.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
-        self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        apart = [p for p in pieces if self.mark is None or MARK.encode() in p]
-        for p, e in zip(apart, self.plain.encode_batch_fast([p.decode() for p in apart], add_special_tokens=False), strict=True):
-            self.known[p] = np.array(e.ids, "<u4").tobytes()
-        rest = [p for p in pieces if p not in self.known]
+        self.known: dict[str, int] = {}
+        self.table = Table()
+        self.words: dict[str, bytes] = {}
+        self.model = None
+        end = spec.get("model", {}).get("end_of_word_suffix")
+        if self.apart and end:
+            self.cut = regex.compile(pattern).findall
+            self.model = Tokenizer(self.plain.model)
+            self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            vocab = spec["model"]["vocab"]
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[k for token, k in vocab.items() if token.endswith(end)]] = True
+            self.letters = byte_letters()
+
+    def _learn_words(self, words: list[str]) -> None:
+        """words: as letters for bytes, so none has white space."""
+        for k in range(0, len(words), 4096):
+            part = words[k : k + 4096]
+            ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) != len(part):
+                raise ValueError("words and their ends don't match")
+            data, ends = ids.tobytes(), (4 * ends + 4).tolist()
+            self.words.update(zip(part, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece."""
+        made: list = [None] * len(pieces)
+        fullmatch, wanted = _SIMPLE.fullmatch, set()
+        for k, text in enumerate(pieces if self.model else []):
+            simple = fullmatch(text)
+            if simple:
+                made[k] = own = simple[1].lower(), simple[2]
+            elif _PLAIN.fullmatch(text):
+                own = self.cut(text.lower())
+                if not text.isascii():
+                    own = [w.encode().decode("latin-1").translate(self.letters) for w in own]
+                made[k] = own
+            else:
+                continue
+            wanted.update(own)
+        if len(self.words) > CACHED_PIECES:
+            self.words.clear()
+        self.words[""] = b""
+        self._learn_words([w for w in wanted if w not in self.words])
+        get = self.words.__getitem__
+        made = [own and b"".join(map(get, own)) for own in made]
+        rest = [k for k, ids in enumerate(made) if ids is None]
+        for k, ids in zip(rest, self._learn_marked([pieces[k] for k in rest]), strict=True):
+            made[k] = ids
+        return made
+
+    def _learn_marked(self, pieces: list[str]) -> list[bytes]:
+        known: dict[str, bytes] = {}
+        apart = [p for p in pieces if self.mark is None or MARK in p]
+        for p, e in zip(apart, self.plain.encode_batch_fast(apart, add_special_tokens=False), strict=True):
+            known[p] = np.array(e.ids, "<u4").tobytes()
+        rest = [p for p in pieces if p not in known]
         for k in range(0, len(rest), 4096):
             part = rest[k : k + 4096]
-            text = f" {MARK} ".join(p.decode() for p in part)
-            ids = np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.plain.encode_batch_fast([f" {MARK} ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             marks = np.flatnonzero(ids == self.mark)
             if len(marks) != len(part) - 1:
                 raise ValueError("pieces and marks don't match")
             data = ids.tobytes()
             starts, ends = [0, *(4 * marks + 4).tolist()], [*(4 * marks).tolist(), len(data)]
-            self.known.update(zip(part, map(data.__getitem__, map(slice, starts, ends)), strict=True))
+            known.update(zip(part, map(data.__getitem__, map(slice, starts, ends)), strict=True))
+        return [known[p] for p in pieces]
 
-    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        pieces = [t.encode().split() for t in texts]  # of bytes: ASCII white space alone
+    def encode(self, texts: pa.StringArray, end: bytes) -> list[bytes]:
+        """The ids of each text, which is not null, and ``end``."""
+        if not self.apart:
+            return [np.array(e.ids, "<u4").tobytes() + end for e in self.plain.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
         if len(self.known) > CACHED_PIECES:
-            self.known.clear()
-        new = [p for p in set(chain.from_iterable(pieces)) if p not in self.known]
+            self.known, self.table = {}, Table()
+        lists = pc.ascii_split_whitespace(texts)
+        flat = lists.flatten().dictionary_encode()
+        pieces = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [p for p in pieces if p not in self.known]
         if new:
-            self._learn(new)
-        get = self.known.__getitem__
-        return [b"".join([*map(get, p), end]) for p in pieces]
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            ids = self._learn(new)
+            self.table.add(np.frombuffer(b"".join(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
+        numbers = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        ids, sizes = self.table.pick(numbers[flat.indices.to_numpy()])
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])] * 4
+        data = ids.astype("<i4").tobytes()
+        return [data[a:b] + end for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -240,15 +342,15 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 1, id
         with publish(shard) as out:
             writer = Writer(out)
             for batch in chain([first], full):
-                for k in range(0, batch.num_rows, 256):
-                    piece = batch.slice(k, 256)
-                    for i, ids in zip(piece.column("id").to_pylist(), own.encode(piece.column("text").to_pylist(), tail), strict=True):
+                for k in range(0, batch.num_rows, 1024):
+                    piece = batch.slice(k, 1024)
+                    for i, ids in zip(piece.column("id").to_pylist(), own.encode(piece.column("text"), tail), strict=True):
                         writer.add(NULL_ID if i is None else i, ids)
                         total += len(ids) // 4
             writer.close()
         yield pa.record_batch([pa.array([part], pa.int32()), pa.array([shard]), pa.array([total], pa.int64())], ["part", "shard", "total"])
 
-    rows = sorted(given.mapInArrow(run, "part int, shard string, total bigint").collect(), key=lambda r: r.part)
+    rows = sorted(given.mapInArrow(tidy(run), "part int, shard string, total bigint").collect(), key=lambda r: r.part)
     starts = np.cumsum([0, *(r.total for r in rows)]).tolist()
     return [(r.shard, start) for r, start in zip(rows, starts, strict=False)]
 
@@ -275,4 +377,4 @@ def read(spark: SparkSession, shards: list[tuple[str, int]]) -> DataFrame:
     table = spark.createDataFrame(shards, "shard string, base bigint")
     if len(shards) > 1:
         table = table.repartition(len(shards))
-    return table.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return table.mapInArrow(tidy(run), "doc_id bigint, start bigint, n_tokens bigint, ids binary")

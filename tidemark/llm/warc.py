@@ -20,6 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import tidy
+
 from tidemark.llm.files import publish, resolve
 
 #: Bytes of a chunk at most.
@@ -124,7 +126,7 @@ def write(records: DataFrame, path: str, date: str = DATE, level: int = 5, chunk
             out.write(packer.compress(END) + packer.flush())
         yield pa.record_batch([pa.array([archive])], ["archive"])
 
-    return sorted(r.archive for r in chunked(records, chunk).mapInArrow(run, "archive string").collect())
+    return sorted(r.archive for r in chunked(records, chunk).mapInArrow(tidy(run), "archive string").collect())
 
 
 class _Stream:
@@ -249,7 +251,7 @@ def read_chunks(spark: SparkSession, archives: list[str], chunk: int = CHUNK, wi
     table = spark.createDataFrame([(a,) for a in archives], "archive string")
     if len(archives) > 1:
         table = table.repartition(len(archives))
-    return table.mapInArrow(run, CHUNK_ROWS)
+    return table.mapInArrow(tidy(run), CHUNK_ROWS)
 
 
 def summaries(chunks: DataFrame, id_col: str = "page_id") -> DataFrame:

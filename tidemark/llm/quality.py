@@ -20,8 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters that numpy works on at once; a longer text is a chunk of its own.
-CHUNK_CHARS = 1 << 21
+from tidemark.llm.common import cut, tidy
+
+#: Characters that numpy works on at once (some 50 bytes each); a longer text is a chunk of its own.
+CHUNK_CHARS = 1 << 18
 #: The character classes.
 _SYMBOLS, _MARKS = "#*$%&|<>", ".,;:?"
 (OTHER, LOWER, UPPER, DIGIT, SPACE, SYMBOL, BANG, MARK) = range(8)
@@ -245,21 +247,30 @@ def _chunks(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
+def _scores(model: Model, texts: pa.Array) -> np.ndarray:
+    """The scores of these texts, of which a few hundred are Python strings at a time."""
+    got = [np.empty(0)]
+    for k in range(0, len(texts), 256):
+        got += [model.scores(part) for part in _chunks([t or "" for t in texts.slice(k, 256).to_pylist()])]
+    return np.concatenate(got)
+
+
 def held_out(id_col: str, folds: int = 5, fold: int = 0):
     """Whether crc32 of the id as text leaves this remainder; null ids are held out."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds)) == fold, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_docs: int = 1500) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_docs: int = 1500, max_lines: int = 2000) -> Model:
     """Fit on at most ``max_docs`` documents of either label that are not held out.
 
-    The bounded sample takes those whose text has the least hash. Rows with a
+    The bounded sample takes those whose text has the least hash, and learns from
+    at most ``max_lines`` lines of each, those around its middle. Rows with a
     null id, text or label teach nothing.
     """
     spark = docs.sparkSession
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where(F.col("label").isin(0, 1)).distinct()
     usable = docs.where(~held_out(id_col) & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h"))
-    both = usable.join(known, "id")
+    both = cut(usable.join(known, "id"))
     share = {r.label: r["n"] for r in both.groupBy("label").agg(F.count("*").alias("n")).collect()}
     chosen = [(r.id, r.label) for k in (0, 1) for r in both.where(F.col("label") == k).orderBy("h", "id").limit(max_docs).collect()]
     if len(share) < 2:
@@ -270,16 +281,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, label = batch.column("text").to_pylist(), batch.column("label").to_pylist()
-            at = 0
-            for part in _chunks(texts):
-                features, lengths, lines = line_features(part)
-                yield pa.record_batch([pa.array([features.tobytes()]), pa.array([lengths.tobytes()]), pa.array([lines.astype(np.int64).tobytes()]), pa.array([np.array(label[at : at + len(part)], np.int64).tobytes()])], ["f", "n", "k", "y"])
-                at += len(part)
-
-    rows = given.mapInArrow(run, "f binary, n binary, k binary, y binary").collect()
+            for text, label in zip(batch.column("text"), batch.column("label").to_pylist(), strict=True):
+                features, lengths, _ = line_features([text.as_py()])
+                skip = max(0, len(lengths) - max_lines) // 2
+                features, lengths = features[skip : skip + max_lines], lengths[skip : skip + max_lines]
+                yield pa.record_batch([pa.array([features.tobytes()]), pa.array([lengths.tobytes()]), pa.array([len(lengths)], pa.int64()), pa.array([label], pa.int64())], ["f", "n", "k", "y"])
+
+    rows = given.mapInArrow(tidy(run), "f binary, n binary, k bigint, y bigint").collect()
     features = np.concatenate([np.frombuffer(r.f, np.float32) for r in rows]).reshape(-1, N_FEATURES)
-    lengths, lines, label = (np.concatenate([np.frombuffer(r[c], np.int64) for r in rows]) for c in "nky")
+    lengths = np.concatenate([np.frombuffer(r.n, np.int64) for r in rows])
+    lines, label = (np.array([r[c] for r in rows], np.int64) for c in "ky")
     # The sample has as many of either label as it can; weights restore their shares.
     n = np.bincount(label, minlength=2)
     total = share[0] + share[1]
@@ -298,22 +309,26 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            score = np.concatenate([model.scores(part) for part in _chunks(texts)]) if texts else np.empty(0)
-            yield pa.record_batch([batch.column("id"), pa.array(score, pa.float64())], ["id", "score"])
+            yield pa.record_batch([batch.column("id"), pa.array(_scores(model, batch.column("text")), pa.float64())], ["id", "score"])
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    got = given.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
+    got = given.mapInArrow(tidy(run), f"id {kind}, score double").withColumnRenamed("id", id_col)
     return got.select(id_col, held_out(id_col).alias("held_out"), "score")
 
 
 def good(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` that score ``least`` or more, all columns kept."""
+    """The rows of ``docs`` that score ``least`` or more, all columns kept.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column(text_col).to_pylist()]
-            score = np.concatenate([model.scores(part) for part in _chunks(texts)]) if texts else np.empty(0)
-            yield batch.filter(pa.array(score >= least))
+    Null and empty texts are scored as one empty line; repeated rows are judged
+    alike. An empty table gives an empty one. Only texts go to Python, and only
+    scores come back.
+    """
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return (pa.array(_scores(model, batch), pa.float64()) for batch in batches)
+
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from tidy(run)(batches)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(score(F.col(text_col).cast("string")) >= least)

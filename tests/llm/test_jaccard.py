@@ -58,3 +58,41 @@ def test_stage_links_by_similarity_and_not_by_fingerprint(spark, sf):
     assert (prints[0] ^ prints[1]).bit_count() > corpus_pipeline.RADIUS
     docs = spark.createDataFrame([(k, t, None, None, len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each(spark, docs, sf).collect()) == [0, 2]
+
+
+def test_sketches_never_rule_out_a_link():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n in (5, 40, 1024, 1500, 4096, 9000):
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+        for share in (0.0, 0.5, 0.8, 0.9, 1.0):
+            b = np.unique(np.concatenate([a[: int(share * n)], rng.integers(0, 1 << 63, int((1 - share) * n * 0.9)).astype(np.uint64)]))
+            apart = len(np.setxor1d(a, b))
+            x, y = jaccard.sketch(a).view(np.uint64), jaccard.sketch(b).view(np.uint64)
+            assert np.bitwise_count(x ^ y).sum() <= apart
+            fits = jaccard.wide_fit(jaccard.wide_sketch(a), jaccard.wide_sketch(b), len(a) + len(b), 0.8)
+            assert fits or not jaccard.similar(a, b, 0.8)
+            assert not fits or share > 0.5 or min(len(a), len(b)) < jaccard.WIDE
+
+
+def test_a_large_group_and_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "WIDE", 64)
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(900)]
+    base = rng.choices(words, k=120)
+    rows = []
+    for _ in range(150):  # copies of one text, few of them near each other
+        t = list(base)
+        for _ in range(rng.randint(0, 5)):
+            t[rng.randrange(120)] = rng.choice(words)
+        rows.append(" ".join(t))
+    passage = rng.choices(words, k=60)
+    for _ in range(40):  # unlike texts with a passage in common
+        rows.append(" ".join([*rng.choices(words, k=100), *passage]))
+    rows = list(enumerate(rows))
+    want = slow(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for small in (0, 8, 1000):
+        monkeypatch.setattr(jaccard, "SMALL", small)
+        assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()} == want

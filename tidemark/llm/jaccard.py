@@ -1,13 +1,21 @@
-"""Near-duplicates by exact Jaccard similarity of word shingles.
-
-Under one order of all shingles, two sets of similarity ``t`` or more share one of
-the first n - ceil(t n) + 1 shingles of each. Those prefixes meet in buckets, one
-a shingle. The order puts shingles that a sample knows as common last; it
-settles the cost alone, for any order gives all pairs. Candidates that are not
-yet connected are compared: first with one member of one of their buckets, then
-with that of each bucket, then all that are left, so a large group of copies
-costs one comparison or a few a row. A bound from counts of shingles by hash
-drops most candidates; the others are verified on their whole sets.
+"""Near-duplicates by SimHash trees, completed to exact Jaccard similarity.
+
+Fingerprints of 64 bits keep texts of similarity 0.8 some ten bits apart, too far
+for a tree to prune, so the trees of simhash.py can't find all links by
+themselves. Here they find the near ones, each verified; what they leave is found
+by prefixes: under one order of all shingles, two sets of similarity ``t`` or more
+share one of the first n - ceil(t n) + 1 shingles of each. Those prefixes meet in
+buckets, one a shingle. The order puts shingles that a sample knows as common
+last; it settles the cost alone, for any order gives all pairs.
+
+Of each bucket one member is the hub: that whose shingles the sample holds most
+often, which in a large group of near copies is the text they come from or one
+close to it. All are compared with their hubs first, so such a group costs a few
+comparisons a row; then members of one bucket that are not yet connected, each
+with each. From buckets of over SMALL texts the join lets only pairs through whose
+sketches allow the similarity (the parities of a set's shingles by hash; each
+shingle that only one set has flips one parity at most). Candidates that pass
+the sketches are verified on their whole sets.
 """
 
 from __future__ import annotations
@@ -19,22 +27,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import Workspace, cut, tidy
 from tidemark.llm.components import stars
+from tidemark.llm.simhash import links, majority, normal, shingle_values
 
 #: Sampled texts from which common shingles are known, and in how many of them they occur.
 SAMPLE, COMMON = 2000, 3
-#: Counts of a set's shingles by hash that are kept for the bound.
-CELLS = 256
+#: 64-bit words of a sketch, and the size of a set from which it also has a wide one.
+SKETCH, WIDE = 16, 1024
+#: Bits by which fingerprints that the trees link may differ.
+RADIUS = 3
+#: Texts of a bucket all of whose pairs are candidates.
+SMALL = 8
 #: So many nodes at most are broadcast to pick out their texts.
 BROADCAST = 1_000_000
 
 
-def normal(text: bytes) -> list[bytes]:
-    """Words as simhash.fingerprint() takes them."""
-    return text.lower().split()
-
-
 def node_of(words: list[bytes]) -> int:
     """A signed 64-bit hash of the words in order: equal for texts of equal words."""
     import xxhash
@@ -45,13 +53,7 @@ def node_of(words: list[bytes]) -> int:
 
 def shingle_set(words: list[bytes], size: int) -> np.ndarray:
     """Sorted distinct XXH64 values (seed 42) of the shingles; a shorter text is one shingle."""
-    import xxhash
-
-    h = xxhash.xxh64_intdigest
-    if not words:
-        return np.zeros(0, np.uint64)
-    given = (b" ".join(words[k : k + size]) for k in range(max(1, len(words) - size + 1)))
-    return np.unique(np.fromiter((h(s, 42) for s in given), np.uint64))
+    return np.unique(shingle_values(words, size))
 
 
 def prefix(own: np.ndarray, common: np.ndarray, rank: np.ndarray, threshold: float) -> np.ndarray:
@@ -70,142 +72,205 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     return both >= threshold * (len(a) + len(b) - both) - 1e-9
 
 
-def _cells(own: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes()
+def sketch(own: np.ndarray) -> np.ndarray:
+    """SKETCH words of 64 bits: for each hash value, whether an odd number of shingles has it."""
+    odd = np.bincount((own >> np.uint64(64 - 10)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+def wide_sketch(own: np.ndarray) -> bytes | None:
+    """Two parity bits and more a shingle, a power of two of them; None for a set below WIDE."""
+    if len(own) < WIDE:
+        return None
+    bits = (2 * len(own) - 1).bit_length()
+    odd = np.bincount((own >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def wide_fit(a: bytes | None, b: bytes | None, total: int, threshold: float) -> bool:
+    """Whether wide sketches allow the similarity of two sets of ``total`` shingles together."""
+    if a is None or b is None:
+        return True
+    x, y = (np.frombuffer(z, np.uint8) for z in (a, b))
+    least = min(len(x), len(y))
+    # A hash's leading bits pick its parity bit: neighbours fold into one of a sketch half as wide.
+    x, y = (np.bitwise_xor.reduce(np.unpackbits(z, bitorder="little").reshape(8 * least, -1), axis=1) for z in (x, y))
+    return int(np.count_nonzero(x != y)) <= total * (1 - threshold) / (1 + threshold) + 1e-6
 
 
-def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        got = [node_of(normal(t.as_py() or b"")) for t in batch.column("text")]
-        yield pa.record_batch([batch.column("id"), pa.array(got, pa.int64())], ["id", "node"])
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
 
 
-def _sample(docs: DataFrame, total: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _sample(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Common shingles, sorted, and in how many sampled texts each occurs."""
-    part = docs.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * min(1, SAMPLE / max(1, total))))
+    part = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * min(1, SAMPLE / max(1, texts.count()))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in batch.column("text"):
                 yield pa.record_batch([pa.array(shingle_set(normal(t.as_py() or b""), size).view(np.int64))], ["h"])
 
-    counts = part.select("text").distinct().mapInArrow(run, "h bigint").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).collect()
+    counts = part.select("text").distinct().mapInArrow(tidy(run), "h bigint").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).collect()
     common = np.array([r.h for r in counts], np.int64).view(np.uint64)
     order = np.argsort(common)
     return common[order], np.array([r.n for r in counts], np.int64)[order]
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:
-    """(id_col, component_id): one row for each row of ``docs``.
+def _rows(texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    """A row for each text: id, node; where its task first meets the node, also what is known of its set.
 
-    component_id is the smallest id reachable over pairs of texts whose sets of
-    shingles have a Jaccard similarity of ``threshold`` or more. Texts of equal
-    words, and all without words, are copies. Repeated rows stay; a row with a
-    null id takes part and gets the smallest known id of its component (null if
-    there is none). An empty table gives an empty one.
+    w: how often the sample holds its shingles, on average.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    given = _texts(docs, id_col, text_col)
-    prints = cut(given.mapInArrow(_prints, f"id {kind}, node bigint"))
-    common, rank = _sample(given, prints.count(), size)
+    common, rank = _sample(texts, size)
+    names = ["id", "node", "n", "w", "fp", *_sketch("s"), "wide", "prefix"]
+
+    def weight(own: np.ndarray) -> float:
+        if not len(common):
+            return 0.0
+        at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+        return float(np.where(common[at] == own, rank[at], 0).mean())
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                nodes, rows, none = [], [], (None, None, None, np.zeros(SKETCH, np.int64), None, None)
+                for t in batch.column("text"):
+                    words = normal(t.as_py() or b"")
+                    nodes.append(node_of(words))
+                    if nodes[-1] in seen or not words:
+                        rows.append(none)
+                        continue
+                    seen.add(nodes[-1])
+                    values = shingle_values(words, size)
+                    own = np.unique(values)
+                    fp = np.uint64(majority(values)).view(np.int64)
+                    rows.append((len(own), weight(own), int(fp), sketch(own), wide_sketch(own), prefix(own, common, rank, threshold).view(np.int64)))
+                sketches = np.stack([r[3] for r in rows], axis=1) if rows else np.zeros((SKETCH, 0), np.int64)
+                columns = [pa.array(nodes, pa.int64()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.float64()), pa.array([r[2] for r in rows], pa.int64()), *map(pa.array, sketches)]
+                yield pa.record_batch([batch.column("id"), *columns, pa.array([r[4] for r in rows], pa.binary()), pa.array([r[5] for r in rows], pa.list_(pa.int64()))], names)
+
+    kind = texts.schema["id"].dataType.simpleString()
+    longs = "".join(f"{c} bigint, " for c in _sketch("s"))
+    return texts.mapInArrow(tidy(run), f"id {kind}, node bigint, n int, w double, fp bigint, {longs}wide binary, prefix array<bigint>")
+
+
+def _sketch(name: str) -> list[str]:
+    return [f"{name}{k}" for k in range(SKETCH)]
+
+
+def _fits(a: str, b: str, threshold: float) -> str:
+    """SQL: whether the sizes a and b allow the similarity."""
+    return f"least({a}, {b}) >= greatest({a}, {b}) * {threshold}D - 1e-9D"
+
+
+def _may_link(a: str, b: str, threshold: float) -> str:
+    """SQL: whether sizes and sketches of the sides a and b allow the similarity."""
+    apart = " + ".join(f"bit_count({a}.s{k} ^ {b}.s{k})" for k in range(SKETCH))
+    return f"{_fits(f'{a}.n', f'{b}.n', threshold)} AND {apart} <= ({a}.n + {b}.n) * {(1 - threshold) / (1 + threshold)!r}D + 1e-6D"
+
+
+def _own_sets(texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, own): the sorted shingle values of these nodes (node, low), as bytes.
+
+    low is the least id of a node's texts, so one row stands for each node where
+    ids are unique; where they are not, rows may repeat.
+    """
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hs, nodes, ns, cells = [], [], [], []
-            for t in batch.column("text"):
-                words = normal(t.as_py() or b"")
-                node = node_of(words)
-                if node in seen or not words:
-                    continue
-                seen.add(node)
-                own = shingle_set(words, size)
-                first = prefix(own, common, rank, threshold)
-                hs.append(first), nodes.append(np.full(len(first), node)), ns.append(np.full(len(first), len(own), np.int32))
-            if hs:
-                yield pa.record_batch([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(ns))], ["h", "node", "n"])
-
-    posted = given.select("text").mapInArrow(post, "h bigint, node bigint, n int")
-    # Only buckets of two texts and more go on.
-    shared = posted.selectExpr("*", "min(node) OVER (PARTITION BY h) AS hub", "max(node) OVER (PARTITION BY h) AS top").where("hub < top")
-    shared = cut(shared.select("h", "node", "n", "hub").distinct())
-
-    def full(to_bytes, name: str):
-        """(node, name): to_bytes of each text's set, once a task."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen: set[int] = set()
-            for batch in batches:
-                new = [(k, t) for k, t in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist(), strict=True) if not (k in seen or seen.add(k))]
-                got = [to_bytes(shingle_set(normal(t), size)) for _, t in new]
-                yield pa.record_batch([pa.array([k for k, _ in new], pa.int64()), pa.array(got, pa.binary())], ["node", name])
-
-        return run
-
-    def sets(nodes: DataFrame, to_bytes, name: str) -> DataFrame:
-        """(node, name): to_bytes of the sets of these nodes."""
-
-        def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                got = [node_of(normal(t.as_py() or b"")) for t in batch.column("text")]
-                yield pa.record_batch([pa.array(got, pa.int64()), batch.column("text")], ["node", "text"])
-
-        few = nodes.count() <= BROADCAST
-        picked = given.select("text").mapInArrow(keyed, "node bigint, text binary").join(F.broadcast(nodes) if few else nodes, "node", "left_semi")
-        return cut(picked.mapInArrow(full(to_bytes, name), f"node bigint, {name} binary").dropDuplicates(["node"]))
-
-    sized = shared.select("node", "n").distinct()
-    sized = cut(sets(sized.select("node"), _cells, "cells").join(sized, "node"))
-
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs whose counts by hash differ by no more than similar sets may."""
+            got = [node_of(normal(t.as_py() or b"")) for t in batch.column("text")]
+            yield pa.record_batch([pa.array(got, pa.int64()), batch.column("id"), batch.column("text")], ["node", "id", "text"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CELLS).astype(np.int16) for c in ("ca", "cb"))
-                total = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-                ok = np.abs(x - y).sum(axis=1) <= total * (1 - threshold) / (1 + threshold) + 1e-6
-                yield batch.select(["a", "b"]).filter(pa.array(ok))
+            for k, t in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
+                if k not in seen:
+                    seen.add(k)
+                    yield pa.record_batch([pa.array([k]), pa.array([shingle_set(normal(t.as_py()), size).tobytes()], pa.binary())], ["node", "own"])
+
+    kind = texts.schema["id"].dataType.simpleString()
+    wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST else nodes
+    given = texts.mapInArrow(tidy(keyed), f"node bigint, id {kind}, text binary").alias("t")
+    picked = given.join(wanted.alias("w"), F.expr("t.node = w.node AND t.id <=> w.low"), "left_semi")
+    return picked.select("node", "text").mapInArrow(tidy(run), "node bigint, own binary")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:
+    """(id_col, component_id): one row for each row of ``docs``.
+
+    component_id is the smallest id reachable over pairs of texts whose sets of
+    shingles have a Jaccard similarity of ``threshold`` or more: every such pair
+    and no other. Texts of equal words, and all without words, are copies.
+    Repeated rows stay; a row with a null id takes part and gets the smallest
+    known id of its component (null if there is none). Other columns are left
+    out. An empty table gives an empty one.
+    """
+    space = Workspace(docs.sparkSession, "similar")
+    texts = _texts(docs, id_col, text_col)
+    rows = space.keep(_rows(texts, size, threshold).withColumn("key", F.monotonically_increasing_id()))
+    points = space.keep(rows.groupBy("node").agg(F.min("id").alias("low"), F.min(F.expr("if(n IS NULL, NULL, key)")).alias("key")))
+    known = space.keep(rows.join(points.select("key"), "key", "left_semi"))
+    sized = known.select("node", "n", *_sketch("s"))
+
+    # Only buckets of two texts and more go on, each with its hub.
+    posted = known.select(F.explode("prefix").alias("h"), "node", "n")
+    full = posted.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
+    buckets = space.keep(posted.join(full, "h"))
+    weighed = buckets.join(known.select("node", "w"), "node")
+    hubs = weighed.groupBy("h").agg(F.max(F.struct("w", "node", "n")).alias("hub")).select("h", "hub.node", "hub.n").toDF("h", "hub", "hn")
+
+    def wide_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("wa").to_pylist(), batch.column("wb").to_pylist(), batch.column("total").to_pylist(), strict=True)
+            yield batch.select(["a", "b"]).filter(pa.array([wide_fit(x, y, n, threshold) for x, y, n in pairs], pa.bool_()))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(batch.column("oa").to_pylist(), batch.column("ob").to_pylist(), strict=True)
-            ok = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), threshold) for x, y in pairs]
+            pairs = zip(batch.column("oa"), batch.column("ob"), strict=True)
+            ok = [similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), threshold) for x, y in pairs]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are similar."""
-        x, y = sized.select("node", "n", "cells").toDF("a", "na", "ca"), sized.select("node", "n", "cells").toDF("b", "nb", "cb")
-        close = cut(pairs.distinct().join(x, "a").join(y, "b").select("a", "b", "na", "nb", "ca", "cb").mapInArrow(bound, "a bigint, b bigint"))
-        nodes = cut(close.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        left = sets(nodes, np.ndarray.tobytes, "own")
-        return close.join(left.toDF("a", "oa"), "a").join(left.toDF("b", "ob"), "b").select("a", "b", "oa", "ob").mapInArrow(verify, "a bigint, b bigint")
-
-    def fits(a: str, b: str) -> str:
-        return f"least({a}, {b}) >= greatest({a}, {b}) * {threshold}D - 1e-9D"
-
-    hubs = sized.select("node", "n").toDF("hub", "hn")
-    one = shared.groupBy("node").agg(F.min("n").alias("n"), F.min("hub").alias("hub")).where("node <> hub").join(hubs, "hub").where(fits("n", "hn"))
-    edges = cut(linked(one.select(F.col("node").alias("a"), F.col("hub").alias("b"))))
-    for last in (False, True):
-        roots = stars(edges)
-        known = shared.join(roots, "node", "left").select("h", "node", "n", "hub", F.coalesce("root", "node").alias("root"))
-        if not last:
-            of_hub = roots.toDF("hub", "hroot")
-            pairs = known.join(of_hub, "hub", "left").join(hubs, "hub").where(f"root <> coalesce(hroot, hub) AND {fits('n', 'hn')}")
-            pairs = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        else:
-            # In buckets that still hold two components, all pairs across them.
-            still = cut(known.selectExpr("*", "min(root) OVER (PARTITION BY h) AS lo", "max(root) OVER (PARTITION BY h) AS hi").where("lo < hi").select("h", "node", "n", "root"))
-            other = still.toDF("h", "b", "nb", "rb")
-            pairs = still.join(other, "h").where(f"node < b AND root <> rb AND {fits('n', 'nb')}").select(F.col("node").alias("a"), "b")
-        edges = cut(edges.unionByName(linked(pairs)))
+        left = pairs.where("a <> b").distinct().join(sized.withColumnRenamed("node", "a"), "a").alias("x")
+        close = left.join(sized.alias("y"), F.expr(f"x.b = y.node AND {_may_link('x', 'y', threshold)}"))
+        close = space.keep(close.select("a", "b", F.expr("x.n + y.n").alias("total"), F.expr(f"least(x.n, y.n) >= {WIDE}").alias("long")))
+        wide = known.where(f"n >= {WIDE}").select("node", "wide")
+        both = close.where("long").join(wide.toDF("a", "wa"), "a").join(wide.toDF("b", "wb"), "b").select("a", "b", "total", "wa", "wb")
+        pairs = space.keep(close.where("NOT long").select("a", "b").unionByName(both.mapInArrow(tidy(wide_enough), "a bigint, b bigint")))
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = space.keep(_own_sets(texts, space.keep(points.join(nodes, "node").select("node", "low")), size))
+        both = pairs.join(sets.toDF("a", "oa"), "a").join(sets.toDF("b", "ob"), "b").select("a", "b", "oa", "ob")
+        return space.keep(both.mapInArrow(tidy(verify), "a bigint, b bigint"))
+
+    # Near fingerprints: one text of each, and those that the trees link.
+    of_print = space.keep(known.groupBy("fp").agg(F.min("node").alias("one")))
+    same = known.join(of_print, "fp").select(F.col("node").alias("a"), F.col("one").alias("b"))
+    ends = links(of_print.select("fp"), RADIUS).join(of_print.toDF("a", "na"), "a").join(of_print.toDF("b", "nb"), "b")
+    to_hub = buckets.join(hubs, "h").where("node <> hub AND " + _fits("n", "hn", threshold)).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    edges = linked(to_hub.unionByName(same).unionByName(ends.select(F.col("na").alias("a"), F.col("nb").alias("b"))))
+
+    # What a bucket holds of pairs not yet connected.
     roots = stars(edges)
-    points = prints.groupBy("node").agg(F.min("id").alias("low"))
+    few, many = buckets.where(f"c <= {SMALL}").select("h", "node", "n"), buckets.where(f"c > {SMALL}").select("h", "node")
+    pairs = few.alias("x").join(few.alias("y"), F.expr(f"x.h = y.h AND x.node < y.node AND {_fits('x.n', 'y.n', threshold)}"))
+    pairs = pairs.select(F.expr("x.node").alias("a"), F.expr("y.node").alias("b")).distinct()
+    of_a, of_b = roots.toDF("a", "ra"), roots.toDF("b", "rb")
+    apart = pairs.join(of_a, "a", "left").join(of_b, "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
+    placed = many.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("h")
+    still = space.keep(placed.join(mixed, "h").join(sized, "node"))
+    across = still.alias("x").join(still.alias("y"), F.expr(f"x.h = y.h AND x.node < y.node AND x.root <> y.root AND {_may_link('x', 'y', threshold)}"))
+    more = linked(apart.unionByName(across.select(F.expr("x.node").alias("a"), F.expr("y.node").alias("b"))))
+    roots = stars(edges.unionByName(more))
+
     members = points.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     least = members.groupBy("root").agg(F.min("low").alias("component_id"))
-    found = prints.join(members.join(least, "root").select("node", "component_id"), "node")
-    return found.select(F.col("id").alias(id_col), "component_id")
+    found = rows.select("id", "node").join(members.join(least, "root").select("node", "component_id"), "node")
+    found = cut(found.select(F.col("id").alias(id_col), "component_id"))
+    space.drop()
+    return found

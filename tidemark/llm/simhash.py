@@ -9,6 +9,12 @@ right of a boundary also visit the shards on its left that their ball reaches,
 and no pair is missed. Each shard searches its points with a tree of its own,
 pruned by the same bounds, and returns a spanning forest of the pairs it found,
 not all pairs. Components of the forests are joined up by alternating stars.
+
+Deeper trees send more copies to boundary shards, so depth is bounded, and a shard
+that holds more than SHARD_POINTS is split further: its fingerprints are cut into
+radius + 1 blocks of bits, and each goes to a part of the shard for the value of
+each block. Two fingerprints at most ``radius`` bits apart agree in some block, so
+they still meet; only fingerprints that agree in a whole block must share a part.
 """
 
 from __future__ import annotations
@@ -21,45 +27,61 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, tidy
 from tidemark.llm.components import stars
 
-#: Points of a shard, and the bound of shards (a power of two); sampled points a shard.
-SHARD_POINTS, MAX_SHARDS, SAMPLE_A_SHARD = 8192, 1 << 16, 32
-#: A wide radius sends most points to most shards; the tree is cut back to so many copies each.
-MAX_COPIES = 16
+#: Points of a shard or part of one; levels of the tree; sampled points a shard.
+SHARD_POINTS, MAX_DEPTH, SAMPLE_A_SHARD = 4096, 10, 64
+#: Copies of a point that boundaries may ask for; levels beyond that give way to parts.
+BOUNDARY_COPIES = 4
 #: Points that a search compares one by one, and pairs kept before they are reduced.
 LEAF, KEPT_PAIRS = 128, 1 << 20
 _CHUNK = 1 << 16
 
 
-def fingerprint(text: bytes, size: int = 3) -> int:
-    """The 64-bit SimHash of a text in UTF-8, from word shingles with repeats.
+def shingle_values(words: list[bytes], size: int) -> np.ndarray:
+    """XXH64 values (seed 42) of the word shingles, repeats included.
 
-    A-Z are lower-cased; words are runs without blank, tab, newline, vertical
-    tab, form feed and return; a text of fewer than ``size`` words is one
-    shingle; one without words has fingerprint 0. A bit is set if it is set in
-    over half of the shingles' XXH64 values (seed 42).
+    Fewer words than ``size`` are one shingle, none give no value.
     """
     import xxhash
 
-    words = text.lower().split()  # of bytes: lower() and split() know ASCII alone
     n = len(words)
     if not n:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     h = xxhash.xxh64_intdigest
     if n <= size:
-        return h(joined, 42)
+        return np.array([h(joined, 42)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
     starts = np.concatenate([[0], ends[: n - size] + 1]).tolist()
     ends = ends[size - 1 :].tolist()
-    hashes = np.fromiter((h(joined[a:b], 42) for a, b in zip(starts, ends, strict=True)), np.uint64, n - size + 1)
+    return np.fromiter((h(joined[a:b], 42) for a, b in zip(starts, ends, strict=True)), np.uint64, n - size + 1)
+
+
+def majority(values: np.ndarray) -> int:
+    """The bits that over half of the values have; 0 for none."""
     ones = np.zeros(64, np.int64)
-    for k in range(0, len(hashes), _CHUNK):
-        bits = np.unpackbits(hashes[k : k + _CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    for k in range(0, len(values), _CHUNK):
+        bits = np.unpackbits(values[k : k + _CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * ones > len(values), bitorder="little").view("<u8")[0])
+
+
+def normal(text: bytes) -> list[bytes]:
+    """The words of a text in UTF-8, A-Z lower-cased, between ASCII white space."""
+    return text.lower().split()  # of bytes: lower() and split() know ASCII alone
+
+
+def fingerprint(text: bytes, size: int = 3) -> int:
+    """The 64-bit SimHash of a text in UTF-8, from word shingles with repeats.
+
+    A-Z are lower-cased; words are runs without blank, tab, newline, vertical
+    tab, form feed and return; a text of fewer than ``size`` words is one
+    shingle; one without words has fingerprint 0. A bit is set if it is set in
+    over half of the shingles' XXH64 values (seed 42).
+    """
+    return majority(shingle_values(normal(text), size))
 
 
 def _fingerprints(size: int):
@@ -76,7 +98,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, fp bigint): a fingerprint for each row; a null text counts as empty."""
     kind = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    return given.mapInArrow(_fingerprints(size), f"id {kind}, fp bigint")
+    return given.mapInArrow(tidy(_fingerprints(size)), f"id {kind}, fp bigint")
 
 
 class Tree:
@@ -202,14 +224,40 @@ def _forest_of_shard(radius: int):
     return run
 
 
+def blocks(radius: int) -> list[tuple[int, int]]:
+    """(shift, mask) of radius + 1 blocks that cut the 64 bits evenly."""
+    edges = [64 * k // (radius + 1) for k in range(radius + 2)]
+    return [(a, (1 << b - a) - 1) for a, b in zip(edges, edges[1:])]
+
+
+def parts(fps: np.ndarray, of_shard: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each copy: which fingerprint, and the part of its shard that it goes to.
+
+    of_shard: into how many parts the shard of each is split. Whole shards have
+    part -1 alone; else a fingerprint goes to a part for each of its blocks.
+    """
+    split = np.flatnonzero(of_shard > 1)
+    whole = np.flatnonzero(of_shard <= 1)
+    which, part = [whole], [np.full(len(whole), -1, np.int64)]
+    for k, (shift, mask) in enumerate(blocks(radius)):
+        value = fps[split] >> np.uint64(shift) & np.uint64(mask)
+        mixed = (value + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+        which.append(split)
+        part.append((mixed % of_shard[split].astype(np.uint64)).astype(np.int64) * (radius + 1) + k)
+    return np.concatenate(which), np.concatenate(part)
+
+
 def links(points: DataFrame, radius: int = 2) -> DataFrame:
     """(a, b): pairs at most ``radius`` bits apart that connect what is connected.
 
-    ``points`` has one column fp (bigint) of distinct values.
+    ``points`` has one column fp (bigint) of distinct values. The driver holds
+    SAMPLE_A_SHARD fingerprints and one count for each of at most 2**MAX_DEPTH
+    shards, whatever the input.
     """
     n = points.count()
     depth = 0
-    while depth < MAX_SHARDS.bit_length() - 1 and n > SHARD_POINTS << depth:
+    while depth < MAX_DEPTH and n > SHARD_POINTS << depth:
         depth += 1
     wanted = SAMPLE_A_SHARD << depth
     sample = points
@@ -217,20 +265,36 @@ def links(points: DataFrame, radius: int = 2) -> DataFrame:
         sample = points.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int((1 << 30) * wanted / n))
     fitted = np.sort(np.array([r.fp for r in sample.collect()] if depth else [], np.int64)).view(np.uint64)
     tree = Tree(fitted, depth)
-    while depth and len(tree.route(fitted[:4096], radius)[0]) > MAX_COPIES * len(fitted[:4096]):
+    while depth and len(tree.route(fitted, radius)[0]) > BOUNDARY_COPIES * len(fitted):
         depth -= 1
         tree = Tree(fitted, depth)
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         for batch in batches:
-            fps = batch.column("fp").to_numpy(zero_copy_only=False)
+            fps = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             for k in range(0, len(fps), _CHUNK):
-                part = fps[k : k + _CHUNK]
-                which, shard, home = tree.route(part.view(np.uint64), radius)
-                yield pa.record_batch([pa.array(shard.astype(np.int32)), pa.array(part[which]), pa.array(home)], ["shard", "fp", "home"])
-
-    dealt = points.select("fp").mapInArrow(route, "shard int, fp bigint, home boolean")
-    return dealt.groupBy("shard").applyInPandas(_forest_of_shard(radius), "a bigint, b bigint")
+                which, shard, home = tree.route(fps[k : k + _CHUNK], radius)
+                yield fps[k : k + _CHUNK][which], shard, home
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << depth, np.int64)
+        for _, shard, _ in routed(batches):
+            held += np.bincount(shard, minlength=1 << depth)
+        some = np.flatnonzero(held)
+        yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(held[some])], ["shard", "n"])
+
+    points = points.select("fp")
+    of_shard = np.ones(1 << depth, np.int64)
+    for r in points.mapInArrow(tidy(count), "shard int, n bigint").groupBy("shard").agg(F.sum("n").alias("n")).collect():
+        of_shard[r.shard] = -(-r.n // SHARD_POINTS)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for fps, shard, home in routed(batches):
+            which, part = parts(fps, of_shard[shard], radius)
+            yield pa.record_batch([pa.array(shard[which].astype(np.int32)), pa.array(part), pa.array(fps[which].view(np.int64)), pa.array(home[which])], ["shard", "part", "fp", "home"])
+
+    dealt = points.mapInArrow(tidy(deal), "shard int, part bigint, fp bigint, home boolean")
+    return dealt.groupBy("shard", "part").applyInPandas(_forest_of_shard(radius), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 2) -> DataFrame:

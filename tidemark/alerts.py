@@ -12,6 +12,26 @@ SCHEMA_BREAK = "Schema-Breaking Change"
 MANY_REJECTS = "Excessive Rejected Records"
 SLA_BREACH = "SLA Breach"
 SUBJECT_CHARS = 100
+#: Fixed value: the text of a failure.
+MESSAGE = """\
+CDC Pipeline Failure
+
+Pipeline: {}
+Environment: {}
+Stage: {}
+
+Records received: {:,}
+Processed: {:,}
+Rejected: {:,}
+
+Error:
+{}
+
+Retry attempts: {}
+
+Action:
+{}
+"""
 
 
 def failure_message(
@@ -26,15 +46,7 @@ def failure_message(
     action: str = "Manual investigation required",
 ) -> str:
     """The body of an operational alert, counts with thousands separators."""
-    blocks = [
-        "CDC Pipeline Failure",
-        f"Pipeline: {pipeline}\nEnvironment: {environment}\nStage: {stage}",
-        f"Records received: {records_received:,}\nProcessed: {processed:,}\nRejected: {rejected:,}",
-        f"Error:\n{error}",
-        f"Retry attempts: {retry_attempts}",
-        f"Action:\n{action}",
-    ]
-    return "\n\n".join(blocks) + "\n"
+    return MESSAGE.format(pipeline, environment, stage, records_received, processed, rejected, error, retry_attempts, action)
 
 
 def publish(send: Callable[[str, str, str], str | None] | None, topic: str, subject: str, message: str) -> str | None:

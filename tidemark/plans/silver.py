@@ -79,10 +79,10 @@ class SilverJob:
                 self._audit(record.failed(f"schema break: {diff.summary()}"))
                 self._alert(alerts.SCHEMA_BREAK, record, diff.summary())
                 return SCHEMA_BREAK
-            if diff.added:
-                store.add_columns(name, diff.added)
-            if diff.type_changed:
-                store.widen_columns(name, diff.type_changed)
+            if added := diff.of(evolution.ADDED):
+                store.add_columns(name, [(c.column, c.new) for c in added])
+            if widened := diff.of(evolution.PROMOTED):
+                store.widen_columns(name, [(c.column, c.old, c.new) for c in widened])
             rejected = marked.where(F.col(REASON).isNotNull())
             to_quarantine_records(rejected, t.name, batch_id).write.mode("overwrite").json(f"{self.reject_path}/{t.name}/batch_id={batch_id}")
             valid = marked.where(F.col(REASON).isNull()).drop(REASON, *absent)

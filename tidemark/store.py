@@ -53,8 +53,10 @@ class Manifest:
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
+    """writers: tasks that write a bucket's rows; more where a bucket is large for one."""
+
+    def __init__(self, spark: SparkSession, root: str, writers: int = 1) -> None:
+        self.spark, self.root, self.writers = spark, root.rstrip("/"), writers
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -140,8 +142,10 @@ class Store:
         name = f"data/{uuid.uuid4().hex}"
         target = f"{self.root}/{table}/{name}"
         dealt = df.withColumn(BUCKET, self._bucket_of(keys, buckets))
-        if buckets > 1:
-            dealt = dealt.repartition(F.col(BUCKET))
+        if buckets > 1 or self.writers > 1:
+            # Each bucket's rows go to so many tasks, by another hash of the keys.
+            part = F.pmod(F.xxhash64(F.lit(buckets), *[F.col(k).cast("string") for k in keys]), F.lit(self.writers))
+            dealt = dealt.repartition(buckets * self.writers, F.col(BUCKET), part)
         dealt.write.partitionBy(BUCKET).parquet(target)
         found = [s.getPath().getName() for s in self._list(table, *name.split("/")) if s.isDirectory()]
         return {n.partition("=")[2]: [f"{name}/{n}"] for n in found if n.startswith(f"{BUCKET}=")}
@@ -218,6 +222,11 @@ class Store:
                     out.append((folder[folder.index(f"/{table}/data/") + len(table) + 2 :], s.getLen(), s.getModificationTime() / 1000))
         return out
 
+    def live_files(self, table: str) -> int:
+        """How many non-empty data files the newest version has."""
+        dirs = {d for ds in self.manifest(table).files.values() for d in ds}
+        return sum(n > 0 for folder, n, _ in self._data_files(table) if folder in dirs)
+
     def compact(self, table: str, target_bytes: int = 128 << 20, min_files: int = 5) -> Manifest | None:
         """Rewrite buckets of at least ``min_files`` files into files of about the target size."""
         base = self.manifest(table)

@@ -55,7 +55,7 @@ def test_stage_links_by_similarity_and_not_by_fingerprint(spark, sf):
         apart[k] = f"y{rng.random()}"
     texts = [" ".join(t) for t in (base, near, apart)]
     prints = [simhash.fingerprint(t.encode(), 5) for t in texts]
-    assert (prints[0] ^ prints[1]).bit_count() > corpus_pipeline.RADIUS
+    assert (prints[0] ^ prints[1]).bit_count() > jaccard.RADIUS
     docs = spark.createDataFrame([(k, t, None, None, len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each(spark, docs, sf).collect()) == [0, 2]
 

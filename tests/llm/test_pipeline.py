@@ -2,9 +2,10 @@ import numpy as np
 import public_tokenizers
 import tiktoken
 from test_decontaminate import slow as slow_leaks
+from test_jaccard import slow as slow_groups
 
 import corpus_pipeline
-from tidemark.llm import bpe, quality, secrets, simhash
+from tidemark.llm import bpe, quality, secrets
 
 
 def test_stages_against_brute_force(spark, sf):
@@ -25,23 +26,15 @@ def test_stages_against_brute_force(spark, sf):
     gone = [i for i in before if i not in after]
     assert gone and np.mean([labels[i] == 0 for i in gone if i in labels]) > 0.9
     before, after = kept["dedup"]
-    prints = {i: simhash.fingerprint((r.text or "").encode(), 5) for i, r in before.items()}
-    group = {i: i for i in prints}
-    changed = True
-    while changed:
-        changed = False
-        for a in prints:
-            for b in prints:
-                if (prints[a] ^ prints[b]).bit_count() <= corpus_pipeline.RADIUS and group[b] < group[a]:
-                    group[a], changed = group[b], True
-    assert set(after) == {i for i, g in group.items() if i == g}
+    group = slow_groups([(i, r.text) for i, r in sorted(before.items())])
+    assert set(after) == {i for i, g in group.items() if i == g} and len(after) < len(before)
     before, after = kept["decontaminate"]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     import re
 
     fold = lambda t: re.sub(r"[^\W_]", lambda m: m[0] if m[0].isascii() else "é", t or "")
     leaks = {i for i, *_ in slow_leaks([(i, fold(r.text)) for i, r in before.items()], [(j, fold(t)) for j, t in items])}
-    assert set(before) - set(after) <= leaks
+    assert leaks and set(before) - set(after) == leaks
     before, after = kept["secrets"]
     assert set(before) == set(after)
     for i, r in after.items():

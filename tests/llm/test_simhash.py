@@ -98,3 +98,25 @@ def test_long_path_and_hub(spark):
     edges = [(k, k + 1) for k in range(60)] + [(1000, k) for k in range(1001, 1400)] + [(7, 7), (None, 3), (2001, 2000)]
     got = {r.node: r.root for r in stars(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 0 for k in range(1, 61)} | {k: 1000 for k in range(1001, 1400)} | {2001: 2000}
+
+
+def test_parts_of_large_shards_keep_all_links(spark, monkeypatch):
+    """Shards of a few points, split by blocks of bits, against all pairs."""
+    rng = np.random.default_rng(12)
+    centres = rng.integers(0, 1 << 63, 40)
+    near = [int(c) ^ sum(1 << int(b) for b in rng.choice(62, rng.integers(0, 4), replace=False)) for c in np.repeat(centres, 12)]
+    fps = sorted({*near, *map(int, rng.integers(0, 1 << 63, 300))})
+    points = spark.createDataFrame([(f,) for f in fps], "fp bigint").repartition(3)
+    for radius in (0, 2, 5):
+        want = np.arange(len(fps))
+        x = np.array(fps, np.uint64)
+        close = np.argwhere(np.bitwise_count(x[:, None] ^ x[None, :]) <= radius)
+        want = simhash.forest(len(fps), close[:, 0], close[:, 1])
+        for points_a_shard, copies in ((4, 4), (16, 1), (100, 2)):
+            monkeypatch.setattr(simhash, "SHARD_POINTS", points_a_shard)
+            monkeypatch.setattr(simhash, "BOUNDARY_COPIES", copies)
+            place = {f: k for k, f in enumerate(fps)}
+            pairs = [(place[r.a], place[r.b]) for r in simhash.links(points, radius).collect()]
+            assert all((fps[a] ^ fps[b]).bit_count() <= radius for a, b in pairs) or radius
+            a, b = (np.array([p[k] for p in pairs], int) for k in (0, 1))
+            assert simhash.forest(len(fps), a, b).tolist() == want.tolist()

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import Table, let, text_or_empty, tidy
+from tidemark.llm.common import Table, give_back, let, text_or_empty, tidy
 
 #: Bits of a part's start within its word; words of more bytes than they count are long.
 START_BITS = 10
@@ -363,6 +363,7 @@ def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str
     texts = docs.select(F.col(id_col).alias("doc"), text_or_empty(text_col).alias("text"))
     numbered = texts.mapInArrow(tidy(_number_units(pattern, max_words)), f"doc {kind}, numbers binary, sizes binary, new array<array<int>>, fresh boolean")
     known, pick = RankMap(ranks), _pick_ids(ranks)
+    give_back()  # the rank map was made as text
     # A lambda's variable stands for the table, so that the plan holds it once.
     new_ids = let(known.buckets, lambda t: F.transform("new", lambda w: fold_word(w, t, known)))
     folded = numbered.select("doc", "numbers", "sizes", new_ids.alias("new_ids"), "fresh")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -26,6 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not root:
         # Another caller of the session may have set it through the context.
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not known.isDefined() and not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = known.get() if known.isDefined() else f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
         spark.sparkContext.setCheckpointDir(root)
     return root if "://" in root or root.startswith("file:") else f"file://{root}"
@@ -69,6 +72,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def give_back() -> None:
+    """Return to the system what this process has freed."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+    if trim:
+        trim(0)
+
+
 def tidy(run):
     """``run`` over a task's batches; what it no longer needs then goes back to the system.
 
@@ -77,17 +94,10 @@ def tidy(run):
     """
 
     def wrapped(batches):
-        import ctypes
-
-        import pyarrow as pa
-
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
-            if trim:
-                trim(0)
+            give_back()
 
     return wrapped
 

@@ -27,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Workspace, cut, tidy
+from tidemark.llm.common import Workspace, cut, give_back, tidy
 from tidemark.llm.components import stars
 from tidemark.llm.simhash import links, majority, normal, shingle_values
 
 #: Sampled texts from which common shingles are known, and in how many of them they occur.
-SAMPLE, COMMON = 2000, 3
+SAMPLE, COMMON = 20_000, 3
 #: 64-bit words of a sketch, and the size of a set from which it also has a wide one.
 SKETCH, WIDE = 16, 1024
 #: Bits by which fingerprints that the trees link may differ.
@@ -111,10 +111,10 @@ def _sample(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
             for t in batch.column("text"):
                 yield pa.record_batch([pa.array(shingle_set(normal(t.as_py() or b""), size).view(np.int64))], ["h"])
 
-    counts = part.select("text").distinct().mapInArrow(tidy(run), "h bigint").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).collect()
-    common = np.array([r.h for r in counts], np.int64).view(np.uint64)
+    counts = part.select("text").distinct().mapInArrow(tidy(run), "h bigint").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).toArrow()
+    common = counts.column("h").to_numpy().view(np.uint64)
     order = np.argsort(common)
-    return common[order], np.array([r.n for r in counts], np.int64)[order]
+    return common[order], counts.column("n").to_numpy()[order]
 
 
 def _rows(texts: DataFrame, size: int, threshold: float) -> DataFrame:
@@ -273,4 +273,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = rows.select("id", "node").join(members.join(least, "root").select("node", "component_id"), "node")
     found = cut(found.select(F.col("id").alias(id_col), "component_id"))
     space.drop()
+    give_back()
     return found

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, tidy
+from tidemark.llm.common import cut, give_back, tidy
 
 #: Characters that numpy works on at once (some 50 bytes each); a longer text is a chunk of its own.
 CHUNK_CHARS = 1 << 18
@@ -295,7 +295,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n = np.bincount(label, minlength=2)
     total = share[0] + share[1]
     weight = np.where(label == 1, share[1] / total / max(n[1], 1), share[0] / total / max(n[0], 1)) * len(label)
-    return train(features, lengths, lines, label, weight)
+    model = train(features, lengths, lines, label, weight)
+    del rows, features
+    give_back()
+    return model
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,8 +7,9 @@ stage's rows as Parquet below the cluster's shared folder and reads them again.
 * quality: documents that the line classifier scores below 0.3 go. It learns
   from the labelled rows among ``docs``, as its own query does.
 * dedup: of each group of near-duplicates one row stays: that of the smallest id,
-  or one without an id if none has any. Texts are linked whose sets of five-word shingles have a Jaccard
-  similarity of 0.8 or more, every such pair and no other.
+  or one without an id if none has any. Texts are linked whose sets of five-word
+  shingles have a Jaccard similarity of 0.8 or more, every such pair and no other:
+  trees over their SimHash fingerprints find the near ones, prefixes the rest.
 * decontaminate: documents that hold 0.8 or more of a benchmark item's five-word
   shingles go.
 * secrets: every secret found is replaced by <secret>; documents stay, and
@@ -26,8 +27,6 @@ from tidemark.llm import bpe, decontaminate, jaccard, quality, secrets
 from tidemark.llm.common import read, scratch, ship
 
 
-#: Bits of the former links of fingerprints; no stage reads it, only their test does.
-RADIUS = 5
 #: Jaccard similarity from which texts are near-duplicates.
 SIMILARITY = 0.8
 #: Column of the rows' keys within a stage.

@@ -154,12 +154,13 @@ def oracle(size: int = 5, threshold: float = 0.8) -> str:
         return f"""
   SELECT {key}, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {table}"""
 
-    def cut(key: str, source: str, length: str) -> str:
+    def cut(key: str, source: str, length: str, when: str = "true") -> str:
         return f"""
   SELECT DISTINCT {key}, {length} AS size, list_aggregate(w[i : i + {length} - 1], 'string_agg', ' ') AS s
-  FROM (SELECT *, unnest(generate_series(1, len(w) - {length} + 1)) AS i FROM {source} WHERE len(w) >= {length} AND len(w) > 0)"""
+  FROM (SELECT *, unnest(generate_series(1, len(w) - {length} + 1)) AS i FROM {source} WHERE len(w) >= {length} AND len(w) > 0 AND {when})"""
 
-    lengths = " UNION ALL ".join(cut("doc_id", "d", str(k)) for k in range(1, size + 1)) if size < 5 else cut("doc_id", "d", str(size))
+    # Documents' shingles of each length that some item has.
+    lengths = " UNION ALL ".join(cut("doc_id", "d", str(k), f"{k} IN (SELECT size FROM bs)") for k in range(1, size + 1))
     return f"""
 WITH d AS ({side("documents", "doc_id")}),
 b AS (SELECT DISTINCT * FROM ({side("benchmark", "item_id")})),

@@ -6,7 +6,7 @@ import random
 import time
 
 import pytest
-from test_secrets import B64, PEM, PKCS8, RSA, SEC1, SSH
+from test_secrets import B64, PEM, PKCS8, RSA, SEC1, SSH, tlv
 
 from tidemark.llm import secrets
 
@@ -75,3 +75,39 @@ def test_long_runs_take_no_square_of_time():
     began = time.process_time()
     assert not added(data)
     assert time.process_time() - began < 20
+
+
+def _token(header, claims='{"sub":"1"}'):
+    part = lambda t: base64.urlsafe_b64encode(t.encode()).decode().rstrip("=")
+    return f"{part(header)}.{part(claims)}.c2lnbmF0dXJl"
+
+
+def test_tokens_in_runs_and_with_blanks():
+    plain, blank, line = _token('{"alg":"HS256"}'), _token('{ "alg":"HS256"}'), _token('{\n "alg":"none"}')
+    for token in (plain, blank, line):
+        for before, after in (("", ""), ("x_", " "), ("a.", ""), ("v1.eyJ.", "."), ("Bearer ", "\n")):
+            text = before + token + after
+            found = [x for x in added(text) if x[0] == "jwt"]
+            assert [text[a:b] for _, a, b in found] == [token], (before, token)
+    assert not [x for x in added(_token('{"typ":"x"}')) if x[0] == "jwt"]
+
+
+def test_inner_keys_are_parsed():
+    filler = b"not a key at all, only filler text of some length here and there"
+    alg = lambda oid: tlv(0x30, tlv(6, bytes.fromhex(oid)) + tlv(5, b""))
+    shell = lambda oid, key: tlv(0x30, tlv(2, b"\0") + alg(oid) + tlv(4, key))
+    rsa, ec, ed = "2a864886f70d010101", "2a8648ce3d0201", "2b6570"
+    own = tlv(0x30, tlv(2, b"\1") + tlv(4, bytes(range(32))))
+    for good in (shell(rsa, RSA), shell(ec, own), shell(ed, tlv(4, bytes(range(32)))), tlv(0x30, alg("2a864886f70d01050d") + tlv(4, bytes(range(48))))):
+        assert [k for k, *_ in added("x " + B64(good) + " y")] == ["der"]
+    for bad in (shell(rsa, filler), shell(ec, filler), shell(ed, filler), shell("2a0304", RSA), shell(rsa, own), tlv(0x30, alg(rsa) + tlv(4, b"zzz" * 20))):
+        assert not added("x " + B64(bad) + " y")
+
+
+def test_dotless_and_dotted_runs_take_no_square_of_time():
+    import time
+
+    for text in ("eyJ" * 1_700_000, "eyJ." * 100_000, "ey" * 2_500_000 + ".a.b"):
+        began = time.time()
+        added(text)
+        assert time.time() - began < 30

@@ -36,7 +36,9 @@ _HEX = re.compile(r"[0-9a-f]{%d,}" % _HEX_LEAST)
 _GAP = r"(?:\s|\\+[nrt])"
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----" + _GAP + r"*((?:[A-Za-z][A-Za-z0-9-]*:(?:(?!\\+[nr])[^\n])*(?:\n|(?:\\+[nr])+))*)((?:[A-Za-z0-9+/=]|" + _GAP + r")*?)-----END \1-----")
 _GAPS = re.compile(_GAP + "+")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+#: Runs of segments between dots; a signed token's header begins with an encoded {, then a quote or white space.
+_DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+)++")
+_HEADER = re.compile(r"ey[A-Za-z0-9_-]|ew[ko0]")
 #: Where base64 (either alphabet) or hex of a DER sequence, an OpenSSH container or PEM may
 #: begin, in a run too: each is told by its first bytes.
 _START = re.compile(r"M[B-I]|b3BlbnNzaC1rZXktdjEA|LS0tLS1CRUdJTi|30(?=[0-9A-Fa-f]{2})")
@@ -75,6 +77,31 @@ def der_items(data: bytes, at: int = 0, end: int | None = None) -> list[tuple[in
     return out
 
 
+# Object identifiers (their DER bodies) of key algorithms, and of what encrypts keys.
+_RSA = {bytes.fromhex("2a864886f70d01010%s" % k) for k in "17a"}
+_EC = bytes.fromhex("2a8648ce3d0201")
+_CURVES = {bytes.fromhex("2b65%s" % k) for k in ("6e", "6f", "70", "71")}
+_NUMBER_KEYS = {bytes.fromhex("2a8648ce380401"), bytes.fromhex("2a864886f70d010301"), bytes.fromhex("2a8648ce3e0201")}
+_ENCRYPTS = tuple(map(bytes.fromhex, ("2a864886f70d0105", "2a864886f70d010c01")))
+
+
+def _is_inner_key(oid: bytes, key: bytes) -> bool:
+    """Whether the octets inside PKCS#8 are a key of the algorithm that it names."""
+    items = der_items(key)
+    if not items or len(items) != 1:
+        return False
+    tag, a, b = items[0]
+    if oid in _CURVES:
+        return tag == 0x04 and 32 <= b - a <= 57
+    if oid in _NUMBER_KEYS:
+        return tag == 0x02 and b - a >= 16
+    if oid == _EC:
+        own = der_items(key, a, b) if tag == 0x30 else None
+        return bool(own) and [t for t, *_ in own[:2]] == [0x02, 0x04] and key[own[0][1] : own[0][2]] == b"\1" and 16 <= own[1][2] - own[1][1] <= 72
+    own = der_items(key, a, b) if oid in _RSA and tag == 0x30 else None
+    return bool(own) and len(own) == 9 and is_private_der(key)
+
+
 def is_private_der(data: bytes) -> bool:
     """Whether these bytes are a private key in DER: PKCS#1, SEC 1, PKCS#8, encrypted PKCS#8 or DSA."""
     top = der_items(data)
@@ -90,12 +117,12 @@ def is_private_der(data: bytes) -> bool:
         return False
     if tags[:2] == [0x30, 0x04] and len(tags) == 2:  # encrypted PKCS#8: algorithm, data
         inner = der_items(body[0])
-        return bool(inner) and inner[0][0] == 0x06
+        return bool(inner) and inner[0][0] == 0x06 and body[0][inner[0][1] : inner[0][2]].startswith(_ENCRYPTS) and len(body[1]) >= 16 and len(body[1]) % 8 == 0
     if tags[0] != 0x02 or body[0] not in (b"\0", b"\1"):
         return False
     if tags[1:3] == [0x30, 0x04]:  # PKCS#8: version, algorithm, key
         inner = der_items(body[1])
-        return bool(inner) and inner[0][0] == 0x06
+        return bool(inner) and inner[0][0] == 0x06 and _is_inner_key(body[1][inner[0][1] : inner[0][2]], body[2])
     if body[0] == b"\1" and tags[1] == 0x04:  # SEC 1: version, scalar, curve
         return 16 <= len(body[1]) <= 72 and all(t in (0xA0, 0xA1) for t in tags[2:])
     # PKCS#1 has nine integers, DSA six.
@@ -148,6 +175,37 @@ def is_signed_token(text: str) -> bool:
     return True
 
 
+def _ends_object(part: str, start: int) -> bool:
+    """Whether base64 that begins at ``start`` can end a JSON object, by its last characters."""
+    last = (unbase64(part[start + max(0, (len(part) - start - 1) // 4 * 4 - 4) :]) or b"").rstrip()
+    return not last or last.endswith(b"}")
+
+
+def token_spans(text: str) -> list[tuple[int, int]]:
+    """Signed tokens: three segments of a dotted run, the first from its header on.
+
+    The leftmost start in a segment whose structure is right is the token's. Only
+    a long segment that ends like a header and is full of starts takes longer
+    than its length calls for.
+    """
+    found = []
+    for run in _DOTTED.finditer(text):
+        at, parts, free = run.start(), run[0].split("."), 0
+        starts = [at]
+        for part in parts:
+            starts.append(starts[-1] + len(part) + 1)
+        for k in range(len(parts) - 2):
+            if k < free or not parts[k + 1]:
+                continue
+            ends = {r for r in range(4) if _ends_object(parts[k], r)}  # alike for starts four apart
+            for m in _HEADER.finditer(parts[k]) if ends else ():
+                if m.start() % 4 in ends and is_signed_token(".".join((parts[k][m.start() :], *parts[k + 1 : k + 3]))):
+                    found.append((starts[k] + m.start(), starts[k + 3] - 1))
+                    free = k + 3
+                    break
+    return found
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     found = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= _ASSIGN_LEAST]
     if "AKIA" in text:
@@ -166,7 +224,7 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
                 found.append(("pem", m.start(), m.end()))
     armoured = [(a, b) for _, a, b in found]
     if "eyJ" in text:
-        found += [("jwt", m.start(), m.end()) for m in _JWT.finditer(text) if is_signed_token(m[0])]
+        found += [("jwt", a, b) for a, b in token_spans(text)]
     at = 0
     for m in _START.finditer(text):
         if m.start() < at:

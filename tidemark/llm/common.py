@@ -72,6 +72,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key for each row, and the key's name, which no column of ``docs`` has.
+
+    Written out to the shared folder, so that a key stays the row's own.
+    """
+    key, at = "row_key", scratch(docs.sparkSession, "rows")
+    while key in {c.lower() for c in docs.columns}:
+        key += "_"
+    rows = docs.withColumn(key, F.monotonically_increasing_id())
+    rows.write.parquet(at)
+    return docs.sparkSession.read.schema(rows.schema).parquet(at), key
+
+
 def give_back() -> None:
     """Return to the system what this process has freed."""
     import ctypes

@@ -10,21 +10,23 @@ by exact shingle containment, on the shingles themselves, not their hashes.
 
 Texts are lower-cased; words are runs of letters and digits. Everything is a
 DataFrame expression, and documents are never shuffled: items are broadcast, in
-blocks of bounded size, one pass over the documents for each.
+blocks of bounded size, one pass over the documents for each. Of a block go a
+narrow table of sketch hashes and one row for each item with its shingles.
 """
 
 from __future__ import annotations
 
-import itertools
 import json
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, text_or_empty
+from tidemark.llm.common import keyed, let, text_or_empty
 
-#: Items are broadcast in blocks of about so many shingles (each some 60 bytes).
-BLOCK_SHINGLES = 1_000_000
+#: Items are broadcast in blocks of about so many bytes; an item is never split.
+BLOCK_BYTES = 64 << 20
+#: Bytes of a shingle besides its text: its hashes, its length, its share of a row.
+SHINGLE_BYTES = 40
 #: Bits of a block's bitmap for each hash, at least.
 BITS_A_HASH = 16
 
@@ -110,23 +112,25 @@ def contaminated(
     and items without words, match nothing; null ids are passed on. Other
     columns are left out. Empty tables give an empty result.
     """
-    known = sketches(items, item_col, item_text_col, size, threshold)
-    # At most ``size`` rows: the shingle lengths that occur among the items.
-    stats = known.groupBy("size").agg(F.sum("n").alias("n")).collect()
-    blocks = max(1, -(-sum(r.n for r in stats) // BLOCK_SHINGLES))
+    known = sketches(items, item_col, item_text_col, size, threshold).withColumn("key", F.xxhash64("item", "own"))
+    bytes_of = F.expr(f"aggregate(own, 0L, (n, s) -> n + octet_length(s) + {SHINGLE_BYTES})")
+    blocks = max(1, -(-(known.agg(F.sum(bytes_of)).first()[0] or 0) // BLOCK_BYTES))
     found = None
-    for length, block in itertools.product(sorted(r["size"] for r in stats) or [size], range(blocks)):
-        own = known.where((F.col("size") == length) & (F.pmod(F.xxhash64("own"), F.lit(blocks)) == block))
-        # A block's hashes, of bounded number, make the bitmap that lets past
-        # nearly only those of a document's shingles that some item has.
-        bitmap, bits = _bitmap([r.h for r in own.select(F.explode("hashes").alias("h")).distinct().collect()])
-        own = own.select("item", "n", "own", "sketch", F.explode("sketch").alias("h"))
-        met = let(words(text_or_empty(text_col)), lambda w: _met(w, length, bitmap, bits))  # noqa: B023
+    for block in range(blocks):
+        own = known.where(F.pmod(F.xxhash64("own"), F.lit(blocks)) == block)
+        # A block's hashes, of bounded number, make bitmaps (one for each length of
+        # shingles) that let past nearly only those that some item has.
+        hashes: dict[int, list[int]] = {}
+        for r in own.select("size", F.explode("hashes").alias("h")).distinct().collect():
+            hashes.setdefault(r["size"], []).append(r["h"])
+        bitmaps = {k: _bitmap(v) for k, v in sorted((hashes or {size: []}).items())}
+        met = let(words(text_or_empty(text_col)), lambda w: F.concat(*[_met(w, k, *bitmap) for k, bitmap in bitmaps.items()]))  # noqa: B023
         # Never null, and said so: else a filter for it computes all of this twice.
         met = F.coalesce(met, F.array().cast("array<struct<h: bigint, s: string>>"))
         given = docs.select(F.col(id_col).alias("doc"), met.alias("met")).select("doc", F.col("met.h").alias("hs"), F.col("met.s").alias("ss"))
         probe = given.select("doc", "hs", "ss", F.explode(F.array_distinct("hs")).alias("h"))
-        pairs = probe.join(F.broadcast(own), "h")
+        narrow = own.select(F.explode("sketch").alias("h"), "key").distinct()
+        pairs = probe.join(F.broadcast(narrow), "h").join(F.broadcast(own.select("key", "item", "n", "own", "sketch")), "key")
         # Of an item's sketch, the least hash that the document holds speaks for
         # the pair, so each pair is verified once and nothing need be shuffled.
         pairs = pairs.where(F.element_at(F.array_intersect("sketch", "hs"), 1) == F.col("h"))
@@ -137,14 +141,17 @@ def contaminated(
     return found.withColumn("containment", F.col("n_found") / F.col("n_shingles"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that hold an item at or over the threshold.
 
-    All columns are kept. Rows with a null id are judged like others only if no
-    two of them differ, so they are always kept here: give rows an id first.
+    All columns and their order are kept. Each row is judged by its own text,
+    whatever its id: rows without an id or with a repeated one, and repeated
+    rows, stay or go as their texts do. Null and empty texts stay. Empty tables
+    of documents or items give ``docs``. ``options`` are those of contaminated().
     """
-    leaks = contaminated(docs, items, id_col, **options).select(F.col(id_col).alias("__leak")).distinct()
-    return docs.join(leaks, docs[id_col] == F.col("__leak"), "left_anti")
+    rows, key = keyed(docs)
+    leaks = contaminated(rows, items, **(options | {"id_col": key})).select(key).distinct()
+    return rows.join(leaks, key, "left_anti").select(*docs.columns)
 
 
 def oracle(size: int = 5, threshold: float = 0.8) -> str:

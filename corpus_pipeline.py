@@ -24,13 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, jaccard, quality, secrets
-from tidemark.llm.common import read, scratch, ship
+from tidemark.llm.common import keyed, read, scratch, ship
 
 
 #: Jaccard similarity from which texts are near-duplicates.
 SIMILARITY = 0.8
-#: Column of the rows' keys within a stage.
-ROW = "__row"
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,13 +37,6 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.good(docs, model)
 
 
-def keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` with a key for each row, written out so that it stays the row's own."""
-    at = scratch(spark, "rows")
-    docs.withColumn(ROW, F.monotonically_increasing_id()).write.parquet(at)
-    return spark.read.parquet(at)
-
-
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates: that of the smallest id.
 
@@ -53,17 +44,17 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows without an id go as well where they are copies.
     """
     ship(spark)
-    rows = keyed(spark, docs)
-    found = jaccard.near_duplicates(rows, id_col=ROW, size=5, threshold=SIMILARITY)
-    groups = rows.select(ROW, "doc_id").join(found, ROW)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(ROW).alias("row")))
-    kept = groups.groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias(ROW))
-    return rows.join(kept, ROW, "left_semi").select(*docs.columns)
+    rows, key = keyed(docs)
+    found = jaccard.near_duplicates(rows, id_col=key, size=5, threshold=SIMILARITY)
+    groups = rows.select(key, "doc_id").join(found, key)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("row")))
+    kept = groups.groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias(key))
+    return rows.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a benchmark item, told apart by a key of their own."""
-    return decontaminate.decontaminate(keyed(spark, docs), read(spark, sf_dir, "benchmark"), id_col=ROW).select(*docs.columns)
+    """Rows without a benchmark item."""
+    return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

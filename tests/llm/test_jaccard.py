@@ -72,7 +72,7 @@ def test_sketches_never_rule_out_a_link():
             x, y = jaccard.sketch(a).view(np.uint64), jaccard.sketch(b).view(np.uint64)
             assert np.bitwise_count(x ^ y).sum() <= apart
             fits = jaccard.wide_fit(jaccard.wide_sketch(a), jaccard.wide_sketch(b), len(a) + len(b), 0.8)
-            assert fits or not jaccard.similar(a, b, 0.8)
+            assert fits or len(np.intersect1d(a, b)) * 10 < 8 * len(np.union1d(a, b))
             assert not fits or share > 0.5 or min(len(a), len(b)) < jaccard.WIDE
 
 

@@ -99,6 +99,16 @@ def give_back() -> None:
         trim(0)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished jobs hold.
+
+    Spark drops broadcasts and shuffle files once the driver's collector has
+    found that no plan needs them, which in a large heap may be much later.
+    """
+    give_back()
+    spark.sparkContext._jvm.System.gc()
+
+
 def tidy(run):
     """``run`` over a task's batches; what it no longer needs then goes back to the system.
 

@@ -12,7 +12,8 @@ Of each bucket one member is the hub: that whose shingles the sample holds most
 often, which in a large group of near copies is the text they come from or one
 close to it. All are compared with their hubs first, so such a group costs a few
 comparisons a row; then members of one bucket that are not yet connected, each
-with each. From buckets of over SMALL texts the join lets only pairs through whose
+with each, but only in a bucket whose place in both prefixes lets it be the first that
+similar sets share. From buckets of over SMALL texts the join lets only pairs through whose
 sketches allow the similarity (the parities of a set's shingles by hash; each
 shingle that only one set has flips one parity at most). Candidates that pass
 the sketches are verified on their whole sets.
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Workspace, cut, give_back, tidy
+from tidemark.llm.common import Workspace, cut, release, tidy
 from tidemark.llm.components import stars
 from tidemark.llm.simhash import links, majority, normal, shingle_values
 
@@ -67,11 +68,6 @@ def prefix(own: np.ndarray, common: np.ndarray, rank: np.ndarray, threshold: flo
     return own[order[:kept]]
 
 
-def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both >= threshold * (len(a) + len(b) - both) - 1e-9
-
-
 def sketch(own: np.ndarray) -> np.ndarray:
     """SKETCH words of 64 bits: for each hash value, whether an odd number of shingles has it."""
     odd = np.bincount((own >> np.uint64(64 - 10)).astype(np.int64), minlength=64 * SKETCH) & 1
@@ -172,31 +168,38 @@ def _may_link(a: str, b: str, threshold: float) -> str:
     return f"{_fits(f'{a}.n', f'{b}.n', threshold)} AND {apart} <= ({a}.n + {b}.n) * {(1 - threshold) / (1 + threshold)!r}D + 1e-6D"
 
 
+def _may_start(a: str, b: str, threshold: float) -> str:
+    """SQL: whether similar sets may have their first common shingle at pos of a and pos of b.
+
+    Those before it in the one order are not common, so at most n - pos of each are.
+    """
+    return f"least({a}.n - {a}.pos, {b}.n - {b}.pos) >= ({a}.n + {b}.n) * {threshold / (1 + threshold)!r}D - 1e-6D"
+
+
 def _own_sets(texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, own): the sorted shingle values of these nodes (node, low), as bytes.
+    """(node, own): the sorted shingle values of these nodes (node, low).
 
     low is the least id of a node's texts, so one row stands for each node where
-    ids are unique; where they are not, rows may repeat.
+    ids are unique. Where ids repeat or are null, rows may repeat, and other
+    texts of those ids come along. The texts are picked by id before they reach
+    Python, so a task has one worker, which sees few texts.
     """
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [node_of(normal(t.as_py() or b"")) for t in batch.column("text")]
-            yield pa.record_batch([pa.array(got, pa.int64()), batch.column("id"), batch.column("text")], ["node", "id", "text"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for k, t in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
-                if k not in seen:
-                    seen.add(k)
-                    yield pa.record_batch([pa.array([k]), pa.array([shingle_set(normal(t.as_py()), size).tobytes()], pa.binary())], ["node", "own"])
+            for t in batch.column("text"):
+                words = normal(t.as_py() or b"")
+                node = node_of(words)
+                if node not in seen:
+                    seen.add(node)
+                    own = shingle_set(words, size).view(np.int64)
+                    yield pa.record_batch([pa.array([node], pa.int64()), pa.ListArray.from_arrays([0, len(own)], pa.array(own))], ["node", "own"])
 
-    kind = texts.schema["id"].dataType.simpleString()
-    wanted = F.broadcast(nodes) if nodes.count() <= BROADCAST else nodes
-    given = texts.mapInArrow(tidy(keyed), f"node bigint, id {kind}, text binary").alias("t")
-    picked = given.join(wanted.alias("w"), F.expr("t.node = w.node AND t.id <=> w.low"), "left_semi")
-    return picked.select("node", "text").mapInArrow(tidy(run), "node bigint, own binary")
+    wanted = nodes.select("low").distinct()
+    wanted = F.broadcast(wanted) if nodes.count() <= BROADCAST else wanted
+    picked = texts.join(wanted, F.expr("id <=> low"), "left_semi")
+    return picked.select("text").mapInArrow(tidy(run), "node bigint, own array<bigint>")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -217,9 +220,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sized = known.select("node", "n", *_sketch("s"))
 
     # Only buckets of two texts and more go on, each with its hub.
-    posted = known.select(F.explode("prefix").alias("h"), "node", "n")
+    posted = known.select("node", "n", F.posexplode("prefix").alias("pos", "h"))
+    posted = posted.select("h", "node", F.expr("shiftleft(cast(n AS bigint), 32) + pos").alias("place"))
     full = posted.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
-    buckets = space.keep(posted.join(full, "h"))
+    unpacked = [F.expr("cast(shiftright(place, 32) AS int)").alias("n"), F.expr("cast(place & 4294967295 AS int)").alias("pos")]
+    buckets = space.keep(posted.join(full, "h").select("h", "node", "c", *unpacked))
     weighed = buckets.join(known.select("node", "w"), "node")
     hubs = weighed.groupBy("h").agg(F.max(F.struct("w", "node", "n")).alias("hub")).select("h", "hub.node", "hub.n").toDF("h", "hub", "hn")
 
@@ -228,12 +233,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = zip(batch.column("wa").to_pylist(), batch.column("wb").to_pylist(), batch.column("total").to_pylist(), strict=True)
             yield batch.select(["a", "b"]).filter(pa.array([wide_fit(x, y, n, threshold) for x, y, n in pairs], pa.bool_()))
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(batch.column("oa"), batch.column("ob"), strict=True)
-            ok = [similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), threshold) for x, y in pairs]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are similar."""
         left = pairs.where("a <> b").distinct().join(sized.withColumnRenamed("node", "a"), "a").alias("x")
@@ -244,8 +243,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = space.keep(close.where("NOT long").select("a", "b").unionByName(both.mapInArrow(tidy(wide_enough), "a bigint, b bigint")))
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sets = space.keep(_own_sets(texts, space.keep(points.join(nodes, "node").select("node", "low")), size))
-        both = pairs.join(sets.toDF("a", "oa"), "a").join(sets.toDF("b", "ob"), "b").select("a", "b", "oa", "ob")
-        return space.keep(both.mapInArrow(tidy(verify), "a bigint, b bigint"))
+        both = pairs.join(sets.toDF("a", "oa"), "a").join(sets.toDF("b", "ob"), "b")
+        shared = both.select("a", "b", F.expr("size(oa) + size(ob)").alias("total"), F.size(F.array_intersect("oa", "ob")).alias("both"))
+        return space.keep(shared.where(F.expr(f"both >= {threshold}D * (total - both) - 1e-9D")).select("a", "b"))
 
     # Near fingerprints: one text of each, and those that the trees link.
     of_print = space.keep(known.groupBy("fp").agg(F.min("node").alias("one")))
@@ -255,16 +255,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = linked(to_hub.unionByName(same).unionByName(ends.select(F.col("na").alias("a"), F.col("nb").alias("b"))))
 
     # What a bucket holds of pairs not yet connected.
+    release(docs.sparkSession)
     roots = stars(edges)
-    few, many = buckets.where(f"c <= {SMALL}").select("h", "node", "n"), buckets.where(f"c > {SMALL}").select("h", "node")
-    pairs = few.alias("x").join(few.alias("y"), F.expr(f"x.h = y.h AND x.node < y.node AND {_fits('x.n', 'y.n', threshold)}"))
+    few, many = buckets.where(f"c <= {SMALL}").select("h", "node", "n", "pos"), buckets.where(f"c > {SMALL}").select("h", "node", "pos")
+    pairs = few.alias("x").join(few.alias("y"), F.expr(f"x.h = y.h AND x.node < y.node AND {_fits('x.n', 'y.n', threshold)} AND {_may_start('x', 'y', threshold)}"))
     pairs = pairs.select(F.expr("x.node").alias("a"), F.expr("y.node").alias("b")).distinct()
     of_a, of_b = roots.toDF("a", "ra"), roots.toDF("b", "rb")
     apart = pairs.join(of_a, "a", "left").join(of_b, "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
     placed = many.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("h")
     still = space.keep(placed.join(mixed, "h").join(sized, "node"))
-    across = still.alias("x").join(still.alias("y"), F.expr(f"x.h = y.h AND x.node < y.node AND x.root <> y.root AND {_may_link('x', 'y', threshold)}"))
+    across = still.alias("x").join(still.alias("y"), F.expr(f"x.h = y.h AND x.node < y.node AND x.root <> y.root AND {_may_start('x', 'y', threshold)} AND {_may_link('x', 'y', threshold)}"))
     more = linked(apart.unionByName(across.select(F.expr("x.node").alias("a"), F.expr("y.node").alias("b"))))
     roots = stars(edges.unionByName(more))
 
@@ -273,5 +274,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = rows.select("id", "node").join(members.join(least, "root").select("node", "component_id"), "node")
     found = cut(found.select(F.col("id").alias(id_col), "component_id"))
     space.drop()
-    give_back()
+    release(docs.sparkSession)
     return found

@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, jaccard, quality, secrets
-from tidemark.llm.common import keyed, read, scratch, ship
+from tidemark.llm.common import keyed, read, release, scratch, ship
 
 
 #: Jaccard similarity from which texts are near-duplicates.
 SIMILARITY = 0.8
+#: Rows that a Python worker is sent at once: some 4 MB of documents.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -84,12 +86,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        at = scratch(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(at)
-        docs = spark.read.parquet(at)
-    at = scratch(spark, f"stage-{STAGES[-1][0]}")
-    STAGES[-1][1](spark, docs, sf_dir).write.parquet(at)
-    return spark.read.parquet(at)
+    """All stages over ``documents``.
+
+    Python workers get BATCH_ROWS rows at once meanwhile, and what a stage held
+    is let go before the next one starts.
+    """
+    given = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, min(BATCH_ROWS, int(given)) if int(given) > 0 else BATCH_ROWS)
+    try:
+        docs = read(spark, sf_dir, "documents")
+        for name, stage in STAGES:
+            at = scratch(spark, f"stage-{name}")
+            stage(spark, docs, sf_dir).write.parquet(at)
+            docs = spark.read.parquet(at)
+            release(spark)
+        return docs
+    finally:
+        spark.conf.set(BATCH_SETTING, given)

@@ -115,3 +115,10 @@ def test_long_words(spark, ranks, encoding):
     began = time.time()
     assert len(bpe.merge_long(single[word], pairs)) < 600_000
     assert time.time() - began < 60
+
+
+def test_plans_hold_no_ranks(spark, ranks, capsys):
+    """Spark's driver keeps the text of each plan that it has run."""
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    bpe.checked(docs, ranks, public_tokenizers.PATTERN).explain("extended")
+    assert len(capsys.readouterr().out) < 100_000

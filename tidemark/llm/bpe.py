@@ -3,14 +3,15 @@
 Every task cuts its texts at blanks where the vocabulary's pattern always starts a
 word, numbers the distinct units it gets, and applies the pattern to each distinct
 unit once. Each distinct word is encoded once by Spark higher-order functions that
-fold the ranked merges over its bytes, looking pairs up in a literal rank map; the
+fold the ranked merges over its bytes, looking pairs up in a rank map; the
 documents then pick up the ids of their units by number. Decoding maps each id to
 its binary piece and concatenates the pieces. All of it is one stage without a
 shuffle: the words of a task, not those of the corpus, are what memory holds, and
 the table of a task starts anew once it has ``max_words`` entries.
 
-A map literal would be searched from end to end, so the rank map is a literal
-array of small buckets that the pair of ids selects. The fold's state is one array:
+A map would be searched from end to end, so the rank map is an array of small
+buckets that the pair of ids selects. It is the value of scalar subqueries: a plan
+holds literals as text, and Spark's driver keeps the plans it has run. The fold's state is one array:
 of each part its id, where it starts, and the rank of its merge with the next part
 are packed in one number, so the least number is the merge to make. Its steps cost
 as much as the word is long, so words of over LONG bytes pass it by unmerged; a
@@ -22,16 +23,15 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import json
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count, islice
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,11 +94,6 @@ def unit_lists(texts: pa.StringArray, cuts: bool) -> Iterator[tuple[pa.Array, pa
     yield uneven, pa.array([units(t.as_py(), cuts) for t in texts.filter(uneven)], pa.list_(pa.string()))
 
 
-def _json_literal(value: object, ddl: str) -> Column:
-    """A literal of a nested type: from_json over a literal is folded to one."""
-    return F.from_json(F.lit(json.dumps(value, separators=(",", ":"))), ddl)
-
-
 def _long(x: int) -> Column:
     return F.lit(x).cast("bigint")
 
@@ -125,7 +120,7 @@ def _next_prime(n: int) -> int:
 
 
 class RankMap:
-    """The ranked merges as literals for the fold.
+    """The ranked merges as arrays for the fold.
 
     buckets: an array of [NONE, key, rank, key, rank, ...]; the position of a key
     points at its rank, and position 0 (no such key) at NONE, beyond any rank. A
@@ -147,9 +142,16 @@ class RankMap:
             key = self.key(a, b)
             buckets[key % self.n] += [key, rank << START_BITS + ID_BITS]
         first = [pairs.get((a, b)) for a in ids for b in ids]
-        self.buckets = _json_literal(buckets, "array<array<bigint>>")
-        self.first = _json_literal([self.none if r is None else r << START_BITS + ID_BITS for r in first], "array<bigint>")
-        self.single = _json_literal(ids, "array<bigint>")
+        sizes = np.fromiter(map(len, buckets), np.int64, self.n)
+        self.buckets = _lists(pa.array(np.fromiter(chain.from_iterable(buckets), np.int64, sizes.sum())), sizes)
+        self.first = pa.array([self.none if r is None else r << START_BITS + ID_BITS for r in first], pa.int64())
+        self.single = pa.array(ids, pa.int64())
+
+    def tables(self, spark: SparkSession) -> dict[str, Column]:
+        """The three arrays as scalar subqueries, by name."""
+        row = {name: _lists(getattr(self, name), [len(getattr(self, name))]) for name in ("buckets", "first", "single")}
+        table = spark.createDataFrame(pa.table(row))
+        return {name: table.select(name).scalar() for name in row}
 
     @staticmethod
     def key(a, b):
@@ -161,7 +163,7 @@ class RankMap:
         return let(key, lambda k: F.get(F.get(buckets, F.pmod(k, _long(self.n))), F.array_position(F.get(buckets, F.pmod(k, _long(self.n))), k)))
 
 
-def fold_word(word: Column, buckets: Column, known: RankMap) -> Column:
+def fold_word(word: Column, buckets: Column, first: Column, single: Column, known: RankMap) -> Column:
     """array<bigint>: the parts of one word (its array of bytes); the low ID_BITS of each are its id.
 
     A number of the state is rank | start | id. The fold takes a step for each
@@ -189,8 +191,8 @@ def fold_word(word: Column, buckets: Column, known: RankMap) -> Column:
 
         return let(F.array_min(q), go)
 
-    start = F.transform(word, lambda b, i: F.coalesce(F.get(known.first, b * 256 + F.get(word, i + 1)), _long(known.none)) + i * _long(1 << ID_BITS) + F.get(known.single, b))
-    return F.when(F.size(word) > LONG, F.transform(word, lambda b: F.get(known.single, b))).otherwise(F.aggregate(word, start, step))
+    start = F.transform(word, lambda b, i: F.coalesce(F.get(first, b * 256 + F.get(word, i + 1)), _long(known.none)) + i * _long(1 << ID_BITS) + F.get(single, b))
+    return F.when(F.size(word) > LONG, F.transform(word, lambda b: F.get(single, b))).otherwise(F.aggregate(word, start, step))
 
 
 def merge_long(ids: np.ndarray, pairs: dict[tuple[int, int], int]) -> list[int]:
@@ -363,10 +365,13 @@ def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str
     texts = docs.select(F.col(id_col).alias("doc"), text_or_empty(text_col).alias("text"))
     numbered = texts.mapInArrow(tidy(_number_units(pattern, max_words)), f"doc {kind}, numbers binary, sizes binary, new array<array<int>>, fresh boolean")
     known, pick = RankMap(ranks), _pick_ids(ranks)
-    give_back()  # the rank map was made as text
-    # A lambda's variable stands for the table, so that the plan holds it once.
-    new_ids = let(known.buckets, lambda t: F.transform("new", lambda w: fold_word(w, t, known)))
-    folded = numbered.select("doc", "numbers", "sizes", new_ids.alias("new_ids"), "fresh")
+    tables = known.tables(docs.sparkSession)
+    give_back()  # the rank map was made of lists
+    # Lambdas take no subqueries, but columns of them. A lambda's variable stands
+    # for each, so that it is used once and Spark puts the subquery in its place.
+    buckets, first, single = map(F.col, tables)
+    new_ids = let(buckets, lambda t: let(first, lambda f: let(single, lambda s: F.transform("new", lambda w: fold_word(w, t, f, s, known)))))
+    folded = numbered.withColumns(tables).select("doc", "numbers", "sizes", new_ids.alias("new_ids"), "fresh")
     return folded.mapInArrow(tidy(lambda batches: finish(pick(batches))), f"doc {kind}, {columns}").withColumnRenamed("doc", id_col)
 
 

@@ -3,6 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it
 kept; all but the last return the columns of ``documents``. ``run`` writes each
 stage's rows as Parquet below the cluster's shared folder and reads them again.
+A stage whose rows go to Python leaves the session with Arrow batches of at most
+BATCH_ROWS rows, for its rows are computed later; ``run`` sets back what it found.
 
 * quality: documents that the line classifier scores below 0.3 go. It learns
   from the labelled rows among ``docs``, as its own query does.
@@ -33,8 +35,15 @@ SIMILARITY = 0.8
 BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send Python workers BATCH_ROWS rows at once at most: each task holds a batch on both sides."""
+    given = int(spark.conf.get(BATCH_SETTING))
+    spark.conf.set(BATCH_SETTING, min(BATCH_ROWS, given) if given > 0 else BATCH_ROWS)
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier accepts."""
+    small_batches(spark)
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
     return quality.good(docs, model)
 
@@ -46,6 +55,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows without an id go as well where they are copies.
     """
     ship(spark)
+    small_batches(spark)
     rows, key = keyed(docs)
     found = jaccard.near_duplicates(rows, id_col=key, size=5, threshold=SIMILARITY)
     groups = rows.select(key, "doc_id").join(found, key)
@@ -62,6 +72,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, their secrets masked."""
     ship(spark)
+    small_batches(spark)
     clean = secrets.redacted(docs)
     return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
 
@@ -69,6 +80,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (array<int>), and n_bytes: the bytes that the ids decode to."""
     ship(spark)
+    small_batches(spark)
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return bpe.checked(docs, ranks, public_tokenizers.PATTERN)
 
@@ -88,11 +100,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``.
 
-    Python workers get BATCH_ROWS rows at once meanwhile, and what a stage held
-    is let go before the next one starts.
+    What a stage held is let go before the next one starts.
     """
     given = spark.conf.get(BATCH_SETTING)
-    spark.conf.set(BATCH_SETTING, min(BATCH_ROWS, int(given)) if int(given) > 0 else BATCH_ROWS)
     try:
         docs = read(spark, sf_dir, "documents")
         for name, stage in STAGES:

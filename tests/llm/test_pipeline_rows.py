@@ -19,3 +19,16 @@ def test_leaks_without_an_id_go(spark, sf):
     got = corpus_pipeline.drop_leaks(spark, docs, sf)
     assert got.columns == docs.columns
     assert sorted((str(r.doc_id), r.text) for r in got.collect()) == [("7", "clean too"), ("None", "clean")]
+
+
+def test_stages_send_small_batches(spark, sf):
+    given = spark.conf.get(corpus_pipeline.BATCH_SETTING)
+    docs = spark.createDataFrame([(1, "a b", None, None, 3)], SCHEMA)
+    try:
+        for rows, want in (("10000", "2000"), ("0", "2000"), ("500", "500")):
+            for stage in (corpus_pipeline.mask_secrets, corpus_pipeline.to_tokens, corpus_pipeline.keep_one_of_each):
+                spark.conf.set(corpus_pipeline.BATCH_SETTING, rows)
+                stage(spark, docs, sf)
+                assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == want
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH_SETTING, given)

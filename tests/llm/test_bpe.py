@@ -122,3 +122,55 @@ def test_plans_hold_no_ranks(spark, ranks, capsys):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     bpe.checked(docs, ranks, public_tokenizers.PATTERN).explain("extended")
     assert len(capsys.readouterr().out) < 100_000
+
+
+def test_words_come_apart_where_no_merge_joins(ranks, encoding, monkeypatch):
+    rng = np.random.default_rng(11)
+    letters = list("etaonhisrdlu") + ["é", "日", "本", "!", "0", "'", "🙂", "ß", "\0", " "]
+    words = ["".join(rng.choice(letters, n)) for n in rng.integers(0, 30, 4000)] + ["", "a", "", "th" * 900, ""]
+    single, pairs = np.array([ranks[bytes([b])] for b in range(256)]), bpe.pair_ranks(ranks)
+
+    def ids(piece: bytes) -> list[int]:
+        return bpe.merge_long(single[np.frombuffer(piece, np.uint8)], pairs)
+
+    for bits, most in ((23, 1 << 18), (10, 100)):  # a hash that is often hit leaves places out, no more
+        monkeypatch.setattr(bpe.Cuts, "BITS", bits)
+        monkeypatch.setattr(bpe.Cuts, "AT_ONCE", most)
+        pieces, first = bpe.cut_words(words, bpe.Cuts(ranks))
+        pieces = pieces.to_pylist()
+        assert len(first) == len(words) + 1 and first[-1] == len(pieces) and all(pieces)
+        for w, a, b in zip(words, first[:-1], first[1:], strict=True):
+            assert b"".join(pieces[a:b]) == w.encode()
+            assert sum(map(ids, pieces[a:b]), []) == ids(w.encode())
+        assert bits == 10 or len(pieces) > 1.5 * len(words)
+    assert bpe.cut_words([], bpe.Cuts(ranks))[1].tolist() == [0]
+    assert bpe.cut_words(["", ""], bpe.Cuts(ranks))[1].tolist() == [0, 0, 0]
+
+
+def test_few_merges_and_many_ids():
+    """Ids so high that a pair's bucket is told by both, and a file that merges nothing."""
+    few = {bytes([b]): b for b in range(256)}
+    assert not any(bpe.RankMap(few).buckets.to_pylist())
+    high = few | {b"ab": (1 << bpe.ID_BITS) - 1, b"abc": 70_000, b"cab": 300}
+    known = bpe.RankMap(high)
+    got = {(k, b): rank >> bpe.PART_BITS + bpe.ID_BITS for k, bucket in enumerate(known.buckets.to_pylist()) for b, rank in bucket}
+    pairs = bpe.pair_ranks(high)
+    assert got == {((a * known.SPREAD + b) % known.n, b): rank for (a, b), rank in pairs.items()}
+    assert len(got) == len(pairs) == 3
+
+
+def test_each_distinct_piece_is_folded_once(spark, ranks, encoding):
+    """Words that share pieces send these to the fold once, and the fold searches no array by an exception."""
+    pattern = public_tokenizers.PATTERN
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = [r.text or "" for r in docs.collect()]
+    import pyarrow as pa
+    import regex
+
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc", "text"])
+    made = [w for out in bpe._number_units(pattern, 1_000_000, bpe.Cuts(ranks))(iter([batch])) for row in out.column("new").to_pylist() for w in row or []]
+    words = {w for t in texts for w in regex.findall(pattern, t)}
+    assert len(made) == len({*map(tuple, made)})
+    assert sum(map(len, made)) < 0.8 * sum(len(w.encode()) for w in words)
+    plan = bpe.encode(docs, ranks, pattern)._jdf.queryExecution().toString()
+    assert "array_position" not in plan and "array_min" in plan

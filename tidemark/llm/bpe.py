@@ -2,17 +2,18 @@
 
 Every task cuts its texts at blanks where the vocabulary's pattern always starts a
 word, numbers the distinct units it gets, and applies the pattern to each distinct
-unit once. Each distinct word is encoded once by Spark higher-order functions that
-fold the ranked merges over its bytes, looking pairs up in a rank map; the
-documents then pick up the ids of their units by number. Decoding maps each id to
+unit once. Its words come apart where no merge can join their bytes, and each
+distinct piece of a word is encoded once by Spark higher-order functions that fold
+the ranked merges over its bytes, looking pairs up in a rank map; the documents
+then pick up the ids of their units by number. Decoding maps each id to
 its binary piece and concatenates the pieces. All of it is one stage without a
-shuffle: the words of a task, not those of the corpus, are what memory holds, and
+shuffle: the pieces of a task, not those of the corpus, are what memory holds, and
 the table of a task starts anew once it has ``max_words`` entries.
 
-A map would be searched from end to end, so the rank map is an array of small
-buckets that the pair of ids selects. It is the value of scalar subqueries: a plan
+One map would be searched from end to end, so the rank map is an array of small
+maps, of which the pair of ids selects one. It is the value of scalar subqueries: a plan
 holds literals as text, and Spark's driver keeps the plans it has run. The fold's state is one array:
-of each part its id, where it starts, and the rank of its merge with the next part
+of each part its id, its index, and the rank of its merge with the next part
 are packed in one number, so the least number is the merge to make. Its steps cost
 as much as the word is long, so words of over LONG bytes pass it by unmerged; a
 queue of candidate merges in the Python worker does those, in time n log n.
@@ -37,9 +38,9 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import Table, give_back, let, text_or_empty, tidy
 
-#: Bits of a part's start within its word; words of more bytes than they count are long.
-START_BITS = 10
-LONG = 1 << START_BITS
+#: Bits of a part's index within its word; words of more bytes than they count are long.
+PART_BITS = 10
+LONG = 1 << PART_BITS
 #: Bits of a part's id.
 ID_BITS = 20
 #: Number of words a dictionary row carries from Python to the JVM at most.
@@ -113,6 +114,76 @@ def pair_ranks(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
     return got
 
 
+class Cuts:
+    """Where words come apart: at places that no merge can join.
+
+    The first merge that joins the bytes around a place takes a part that ends
+    there and one that begins there. So where no pair that merges fits, what
+    stands before and what stands behind merge independently, to the same ids.
+    Of each pair, NEAR bytes on each side of the place are compared, and those
+    by a hash: that finds fewer such places, never a wrong one.
+    """
+
+    NEAR = 3
+    #: The hashes are of so many bits; a bit is kept for each.
+    BITS = 23
+    #: Number of places that are looked at together.
+    AT_ONCE = 1 << 18
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        keys: dict[tuple[int, int], set[int]] = defaultdict(set)
+        for piece in ranks:
+            for k in range(1, len(piece)):
+                if piece[:k] in ranks and piece[k:] in ranks:
+                    i, j = min(k, self.NEAR), min(len(piece) - k, self.NEAR)
+                    keys[i, j].add(int.from_bytes(bytes([4 * i + j]) + piece[k - i : k + j]))
+        self.single = np.zeros(1 << 16, bool)
+        self.single[[key & 0xFFFF for key in keys.pop((1, 1), ())]] = True
+        self.sizes = sorted(keys)
+        marked = np.zeros(1 << self.BITS, bool)
+        marked[self._hash(np.array([*chain.from_iterable(keys.values())], np.uint64))] = True
+        self.marked = np.packbits(marked, bitorder="little")
+
+    def _hash(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def __call__(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Where a piece of a word begins, of words that lie end to end in ``flat`` from ``starts``."""
+        begins = np.zeros(len(flat), bool)
+        begins[starts] = True
+        pairs = flat[:-1].astype(np.uint16) << 8 | flat[1:]
+        places = np.flatnonzero(~(begins[1:] | self.single[pairs])) + 1
+        ends, padded = np.append(starts[1:], len(flat)), np.pad(flat, self.NEAR)
+        for k in range(0, len(places), self.AT_ONCE):
+            some = places[k : k + self.AT_ONCE]
+            word = np.searchsorted(starts, some, "right") - 1
+            begins[some[~self._joined(padded, some, some - starts[word], ends[word] - some)]] = True
+        return begins
+
+    def _joined(self, padded: np.ndarray, places: np.ndarray, before: np.ndarray, behind: np.ndarray) -> np.ndarray:
+        """Whether a longer pair may fit each place, with so many bytes of its word on both sides."""
+        joined = np.zeros(len(places), bool)
+        for i, j in self.sizes:
+            key = np.full(len(places), 4 * i + j, np.uint64)
+            for k in range(-i, j):
+                key = key << np.uint64(8) | padded[places + (self.NEAR + k)]
+            at = self._hash(key)
+            joined |= (before >= i) & (behind >= j) & (self.marked[at >> 3] >> (at & 7) & 1 > 0)
+        return joined
+
+
+def cut_words(words: list[str], cuts: Cuts) -> tuple[pa.BinaryArray, np.ndarray]:
+    """The pieces of these words in order, and where each word's begin among them (and the last one's end)."""
+    texts = pa.array(words, pa.string())
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(words) + 1)
+    flat = np.frombuffer(data, np.uint8, ends[-1]) if ends[-1] else np.empty(0, np.uint8)
+    begins = cuts(flat, ends[:-1][np.diff(ends) > 0]) if len(flat) else np.empty(0, bool)
+    at = np.append(np.flatnonzero(begins), len(flat)).astype(np.int32)
+    pieces = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(flat)])
+    return pieces, np.searchsorted(at, ends)
+
+
 def _next_prime(n: int) -> int:
     while any(n % k == 0 for k in range(2, int(n**0.5) + 1)):
         n += 1
@@ -122,12 +193,15 @@ def _next_prime(n: int) -> int:
 class RankMap:
     """The ranked merges as arrays for the fold.
 
-    buckets: an array of [NONE, key, rank, key, rank, ...]; the position of a key
-    points at its rank, and position 0 (no such key) at NONE, beyond any rank. A
-    rank is stored where the fold's numbers have it, and a key is beyond any of
-    these. first: the ranks of pairs of single bytes; single: the ids of bytes.
+    buckets: an array of small maps from a pair's second id to its rank; pairs of one
+    second id never share one, as n is a prime beyond any id. first: the ranks of
+    pairs of single bytes; single: the ids of bytes. A rank is stored where the
+    fold's numbers have it; NONE is beyond any rank.
     """
 
+    #: What spreads the first ids over the buckets; no multiple of a prime n beyond 2.
+    SPREAD = 1 << 16
+
     def __init__(self, ranks: dict[bytes, int]) -> None:
         ids = [ranks.get(bytes([b])) for b in range(256)]
         if None in ids:
@@ -135,16 +209,16 @@ class RankMap:
         if max(ranks.values()) >= 1 << ID_BITS:
             raise ValueError("the rank file has more ranks than the fold counts")
         pairs = pair_ranks(ranks)
-        self.none = 1 << START_BITS + 2 * ID_BITS
-        self.n = _next_prime(max(2, 2 * len(ranks)))
-        buckets: list[list[int]] = [[self.none] for _ in range(self.n)]
-        for (a, b), rank in pairs.items():
-            key = self.key(a, b)
-            buckets[key % self.n] += [key, rank << START_BITS + ID_BITS]
+        self.none = 1 << PART_BITS + 2 * ID_BITS
+        self.n = _next_prime(max(2, 2 * len(ranks), max(ranks.values()) + 1))
+        first_ids, second_ids = np.fromiter(chain.from_iterable(pairs), np.int64, 2 * len(pairs)).reshape(-1, 2).T
+        at = (first_ids * self.SPREAD + second_ids) % self.n
+        order = np.argsort(at, kind="stable")
+        ends = np.cumsum(np.bincount(at, minlength=self.n))
+        stored = np.fromiter(pairs.values(), np.int64, len(pairs)) << PART_BITS + ID_BITS
+        self.buckets = pa.MapArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(second_ids[order]), pa.array(stored[order]))
         first = [pairs.get((a, b)) for a in ids for b in ids]
-        sizes = np.fromiter(map(len, buckets), np.int64, self.n)
-        self.buckets = _lists(pa.array(np.fromiter(chain.from_iterable(buckets), np.int64, sizes.sum())), sizes)
-        self.first = pa.array([self.none if r is None else r << START_BITS + ID_BITS for r in first], pa.int64())
+        self.first = pa.array([self.none if r is None else r << PART_BITS + ID_BITS for r in first], pa.int64())
         self.single = pa.array(ids, pa.int64())
 
     def tables(self, spark: SparkSession) -> dict[str, Column]:
@@ -153,43 +227,43 @@ class RankMap:
         table = spark.createDataFrame(pa.table(row))
         return {name: table.select(name).scalar() for name in row}
 
-    @staticmethod
-    def key(a, b):
-        return a * (1 << ID_BITS) + b + (1 << START_BITS + 2 * ID_BITS + 1)
-
     def rank(self, a: Column, b: Column, buckets: Column) -> Column:
-        """The rank of merging ids a and b, in place; null if either is."""
-        key = _shift("shiftleft", a, ID_BITS) + (b + _long(self.key(0, 0)))
-        return let(key, lambda k: F.get(F.get(buckets, F.pmod(k, _long(self.n))), F.array_position(F.get(buckets, F.pmod(k, _long(self.n))), k)))
+        """The rank of merging ids a and b, in place; NONE if they don't merge or either is null."""
+        return F.coalesce(F.get(buckets, (a * _long(self.SPREAD) + b) % _long(self.n))[b], _long(self.none))
 
 
 def fold_word(word: Column, buckets: Column, first: Column, single: Column, known: RankMap) -> Column:
     """array<bigint>: the parts of one word (its array of bytes); the low ID_BITS of each are its id.
 
-    A number of the state is rank | start | id. The fold takes a step for each
+    A number of the state is rank | index | id. The fold takes a step for each
     byte, more than there are merges. A step merges the leftmost pair of the
     lowest rank and looks up only the two pairs that this changes; once no pair
     can merge, the state stays as it is. Words of over LONG bytes stay as bytes.
+
+    Nothing here searches by array_position: inside lambdas it ends its search by
+    an exception.
     """
-    id_mask, low_mask = (1 << ID_BITS) - 1, (1 << START_BITS + ID_BITS) - 1
+    id_mask, low_mask = (1 << ID_BITS) - 1, (1 << PART_BITS + ID_BITS) - 1
 
     def of_id(x: Column) -> Column:
         return x.bitwiseAND(_long(id_mask))
 
     def step(q: Column, _: Column) -> Column:
-        def merge(least: Column, at: Column, one: Column) -> Column:
-            # at: where the pair's first part is, from 1; one: the id of the merged part.
-            before, gone, after = F.get(q, at - 2), F.get(q, at), F.get(q, at + 1)
-            merged = F.coalesce(known.rank(one, of_id(after), buckets), _long(known.none)) + least.bitwiseAND(_long(low_mask - id_mask)) + one
+        def merge(least: Column) -> Column:
+            # at: the index of the pair's first part; one: the id of the merged part.
+            at = _shift("shiftright", least, ID_BITS).bitwiseAND(_long((1 << PART_BITS) - 1)).cast("int")
+            one = _shift("shiftright", least, PART_BITS + ID_BITS)
+            before, gone, after = F.get(q, at - 1), F.get(q, at + 1), F.get(q, at + 2)
+            merged = known.rank(one, of_id(after), buckets) + least.bitwiseAND(_long(low_mask - id_mask)) + one
             moved = known.rank(of_id(before), one, buckets) + before.bitwiseAND(_long(low_mask))
-            new = F.struct(merged.alias("merged"), before.alias("before"), moved.alias("moved"))
-            return let(new, lambda s: F.transform(F.array_remove(q, gone), lambda x: F.when(x == least, s["merged"]).when(x == s["before"], s["moved"]).otherwise(x)))
+            made = {"at": at, "gone": gone, "merged": merged, "before": before, "moved": moved}
+            return F.when(least < _long(known.none), F.struct(*(c.alias(name) for name, c in made.items())))
 
-        def go(least: Column) -> Column:
-            made = let(F.array_position(q, least).cast("int"), lambda at: let(_shift("shiftright", least, START_BITS + ID_BITS), lambda one: merge(least, at, one)))
-            return F.when(least >= _long(known.none), q).otherwise(made)
+        def renew(s: Column) -> Column:
+            parts = F.transform(F.array_remove(q, s["gone"]), lambda x, i: F.when(i > s["at"], x - _long(1 << ID_BITS)).when(i == s["at"], s["merged"]).when(x == s["before"], s["moved"]).otherwise(x))
+            return F.when(s.isNull(), q).otherwise(parts)
 
-        return let(F.array_min(q), go)
+        return let(let(F.array_min(q), merge), renew)
 
     start = F.transform(word, lambda b, i: F.coalesce(F.get(first, b * 256 + F.get(word, i + 1)), _long(known.none)) + i * _long(1 << ID_BITS) + F.get(single, b))
     return F.when(F.size(word) > LONG, F.transform(word, lambda b: F.get(single, b))).otherwise(F.aggregate(word, start, step))
@@ -229,10 +303,9 @@ def _rows_of(items: list, width: int) -> list[int]:
     return [min(width, len(items) - k) for k in range(0, len(items), width)]
 
 
-def _byte_arrays(words: list[str]) -> pa.ListArray:
+def _byte_arrays(words: list[bytes]) -> pa.ListArray:
     """Rows of WORDS_A_ROW words at most, each the list of its bytes."""
-    data = [w.encode() for w in words]
-    flat = _lists(pa.array(np.frombuffer(b"".join(data), np.uint8).astype(np.int32)), [len(w) for w in data])
+    flat = _lists(pa.array(np.frombuffer(b"".join(words), np.uint8).astype(np.int32)), [len(w) for w in words])
     return _lists(flat, _rows_of(words, WORDS_A_ROW))
 
 
@@ -243,6 +316,13 @@ def _sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordB
             yield batch.slice(k, rows)
 
 
+def _numbered(items: pa.Array, known: dict) -> np.ndarray:
+    """The number of each item by ``known``, which numbers new ones."""
+    distinct = items.dictionary_encode()
+    keys = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+    return np.fromiter(map(known.__getitem__, keys), np.int32, len(keys))[distinct.indices.to_numpy()]
+
+
 def _newest(known: dict, old: int) -> list:
     """The keys that came after the first ``old``."""
     return [*islice(reversed(known), len(known) - old)][::-1]
@@ -254,21 +334,21 @@ def _each(values: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values, np.int32))])
 
 
-def _number_units(pattern: str, max_words: int):
+def _number_units(pattern: str, max_words: int, apart: Cuts):
     cuts = cuts_at_blanks(pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Number the units of this task and their words; send new ones on before their first use.
+        """Number the units of this task and the pieces of their words; send new ones on before their first use.
 
-        Rows out: a row of new words; a row of new units, with the numbers of
-        their words and how many each has (``fresh`` where the numbering starts
+        Rows out: a row of new pieces; a row of new units, with the numbers of
+        their pieces and how many each has (``fresh`` where the numbering starts
         anew); or a document, with the numbers of its units.
         """
         import regex
 
         words_of = regex.compile(pattern).findall
         known: dict[str, int] = {}
-        words: dict[str, int] = {}
+        words: dict[bytes, int] = {}
         fresh = True
         for batch in _sliced(batches, 1024):
             doc = batch.schema.field("doc").type
@@ -277,23 +357,22 @@ def _number_units(pattern: str, max_words: int):
                 if fresh or len(known) + len(words) > max_words:
                     known, words, fresh = defaultdict(count().__next__), defaultdict(count().__next__), True
                 old, old_words = len(known), len(words)
-                flat = lists.flatten().dictionary_encode()
-                numbers = np.fromiter(map(known.__getitem__, flat.dictionary.to_numpy(zero_copy_only=False).tolist()), np.int32, len(flat.dictionary))
-                numbers = numbers[flat.indices.to_numpy()]
+                numbers = _numbered(lists.flatten(), known)
                 made, sizes = [], []
                 for key in _newest(known, old):
                     own = words_of(unit_text(key))
                     made += own
                     sizes.append(len(own))
-                made = np.fromiter(map(words.__getitem__, made), np.int32, len(made))
+                pieces, first = cut_words(made, apart)
+                made, sizes = _numbered(pieces, words), np.diff(first[np.cumsum([0, *sizes])])
                 new = _newest(words, old_words)
                 if new or fresh:
                     rows = _byte_arrays(new) if new else pa.array([[]], _BYTES)
                     starts = [fresh] + [False] * (len(rows) - 1)
                     yield pa.RecordBatch.from_pydict(none(len(rows)) | {"new": rows, "fresh": pa.array(starts)})
                     fresh = False
-                if sizes:
-                    yield pa.RecordBatch.from_pydict(none(1) | {"numbers": _each(made, [len(made)]), "sizes": _each(np.array(sizes), [len(sizes)])})
+                if len(sizes):
+                    yield pa.RecordBatch.from_pydict(none(1) | {"numbers": _each(made, [len(made)]), "sizes": _each(sizes, [len(sizes)])})
                 if len(lists):
                     yield pa.RecordBatch.from_pydict(none(len(lists)) | {"doc": batch.column("doc").filter(mask), "numbers": _each(numbers, _sizes(lists))})
 
@@ -363,7 +442,7 @@ def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str
     """What ``finish`` makes of the batches (doc, ids, ids_le), in the Python worker that made them."""
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc"), text_or_empty(text_col).alias("text"))
-    numbered = texts.mapInArrow(tidy(_number_units(pattern, max_words)), f"doc {kind}, numbers binary, sizes binary, new array<array<int>>, fresh boolean")
+    numbered = texts.mapInArrow(tidy(_number_units(pattern, max_words, Cuts(ranks))), f"doc {kind}, numbers binary, sizes binary, new array<array<int>>, fresh boolean")
     known, pick = RankMap(ranks), _pick_ids(ranks)
     tables = known.tables(docs.sparkSession)
     give_back()  # the rank map was made of lists
